@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.slices import join_per_key
 from vigil.schema import HOUR, KEY
 
 
@@ -28,8 +29,9 @@ def join_audit(first: DataFrame, second: DataFrame) -> DataFrame:
     return out.withColumn("complete", agree)
 
 
-def keep_patients(df: DataFrame, ids: DataFrame) -> DataFrame:
-    return df.join(ids.select(KEY), KEY, "left_semi")
+def keep_patients(df: DataFrame, ids: DataFrame, rows_per_slice=None) -> DataFrame:
+    """Rows of the patients in ``ids``."""
+    return join_per_key(df, ids.select(KEY), how="left_semi", rows_per_slice=rows_per_slice)
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.curves import running_totals
+from vigil.operators.slices import join_per_key
 from vigil.schema import HOUR, KEY, LABEL
 
 ONSET_OFFSET = 6
 
 
-def relabel_late(df: DataFrame, late_cutoff: int = 3, split: str | None = None) -> DataFrame:
+def relabel_late(df: DataFrame, late_cutoff: int = 3, split: str | None = None, rows_per_slice=None) -> DataFrame:
     """Positive hours later than onset + ``late_cutoff`` become 0; onset is 6 h after the first positive."""
     if split == "test":
         raise ValueError("The test split keeps its labels: relabelling it would invalidate the evaluation.")
     first = df.filter(F.col(LABEL) == 1).groupBy(KEY).agg(F.min(HOUR).alias("_first"))
     late = (F.col(LABEL) == 1) & (F.col(HOUR) > F.col("_first") + ONSET_OFFSET + late_cutoff)
     return (
-        df.join(first, KEY, "left")
+        join_per_key(df, first, how="left", rows_per_slice=rows_per_slice)
         .withColumn("relabelled", F.coalesce(late, F.lit(False)))
         .withColumn(LABEL, F.when(F.col("relabelled"), 0).otherwise(F.col(LABEL)))
         .drop("_first")

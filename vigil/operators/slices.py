@@ -59,8 +59,9 @@ def sliced(
 ) -> DataFrame:
     """Add ``_slice``, ``_copy`` (row is a halo copy) and ``_pos`` (known only on large keys).
 
-    ``axis`` is a number that grows with the first order column; it places rows of a large key
-    into coarse ranges, whose sizes give each row's exact position without a global sort.
+    ``axis`` is a whole number that grows with the first order column; it places rows of a large key
+    into coarse ranges, whose sizes give each row's exact position without a global sort. There are
+    at most about ``total / rows_per_slice + MAX_HOT_KEYS`` ranges, few enough to broadcast.
     """
     keys, rows = _names(key), max(rows_per_slice or ROWS_PER_SLICE, 2 * halo, 1)
     small = {SLICE: F.lit(0).cast("long"), COPY: F.lit(False), POS: F.lit(None).cast("long")}
@@ -77,13 +78,22 @@ def sliced(
     ranged = hot.drop("_n").join(F.broadcast(span), keys).withColumn(
         "_range", F.coalesce(F.floor((F.col("_axis") - F.col("_lo")) / width), F.lit(-1))
     )
-    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
-    placed = ranged.join(starts, [*keys, "_range"]).withColumn(
-        POS, F.col("_start") + F.row_number().over(inside) - 1
-    )
+    # A range that is still too large is cut once more: by the axis again, or by the second order
+    # column where the axis is the same throughout.
+    second = F.col(order[-1]).cast("double")
+    stats = {"_size": F.count(F.lit(1)), "_a": F.min("_axis"), "_z": F.max("_axis"), "_a2": F.min(second), "_z2": F.max(second)}
+    per_range = ranged.groupBy(*keys, "_range").agg(*[e.alias(c) for c, e in stats.items()])
+    tied = F.col("_a") == F.col("_z")
+    offset = F.when(tied, second - F.col("_a2")).otherwise(F.col("_axis") - F.col("_a"))
+    extent = F.when(tied, F.col("_z2") - F.col("_a2")).otherwise(F.col("_z") - F.col("_a")) + 1
+    finer = F.coalesce(F.floor(offset / (extent / F.ceil(F.col("_size") / F.lit(rows)))), F.lit(-1))
+    ranged = ranged.join(F.broadcast(per_range), [*keys, "_range"]).withColumn("_finer", finer).drop(*stats)
+    place = [*keys, "_range", "_finer"]
+    sizes = ranged.groupBy(*place).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_range", "_finer").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*place, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*place).orderBy(*order)
+    placed = ranged.join(starts, place).withColumn(POS, F.col("_start") + F.row_number().over(inside) - 1)
     placed = placed.withColumns({SLICE: F.floor(F.col(POS) / rows).cast("long"), COPY: F.lit(False)})
     if halo:
         near_end = F.col(POS) % rows >= rows - halo
@@ -152,3 +162,17 @@ def running_max(df: DataFrame, columns: dict[str, Column], key=KEY, order=ORDER,
         out = out.join(carried, [*keys, SLICE])
         out = out.withColumns({n: F.greatest(n, f"_from_{n}") for n in columns})
     return unsliced(out).select(*df.columns, *columns)
+
+
+def join_per_key(rows: DataFrame, table: DataFrame, key=KEY, how: str = "inner", rows_per_slice=None) -> DataFrame:
+    """Join rows with a table of one row per key. Rows of large keys stay where they are and meet
+    their few table rows by broadcast; the others are joined as usual."""
+    keys = _names(key)
+    found = large_keys(rows, keys, rows_per_slice or ROWS_PER_SLICE)
+    if not found:
+        return rows.join(table, keys, how)
+    schema = T.StructType([rows.schema[k] for k in keys])
+    large = F.broadcast(rows.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema))
+    few = F.broadcast(table.join(large, keys, "left_semi"))
+    cold = rows.join(large, keys, "left_anti").join(table, keys, how)
+    return cold.unionByName(rows.join(large, keys, "left_semi").join(few, keys, how))

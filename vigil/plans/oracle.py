@@ -536,6 +536,18 @@ SQL["board_counts"] = w(V, RUNS, LATEST, ALERTS, f"bd AS (SELECT {_band('latest_
   (SELECT count(*) FILTER (acknowledged) FROM fo WHERE patient_id LIKE '%1%') AS n_acknowledged,
   (SELECT count(*) FILTER (NOT acknowledged) FROM fo WHERE patient_id LIKE '%1%') AS n_open FROM bd"""
 
+
+
+def _suppressed(hours: int) -> str:
+    return "WITH RECURSIVE " + ",\n".join([V, RUNS, ALERTS, f"""em AS (SELECT patient_id, min(ts) AS ts FROM al GROUP BY patient_id
+  UNION ALL SELECT em.patient_id, (SELECT min(al.ts) FROM al WHERE al.patient_id = em.patient_id AND al.ts >= em.ts + INTERVAL {hours} HOUR)
+  FROM em WHERE EXISTS (SELECT 1 FROM al WHERE al.patient_id = em.patient_id AND al.ts >= em.ts + INTERVAL {hours} HOUR))"""]) + f"""
+SELECT {_ALERT} FROM al WHERE (patient_id, ts) IN (SELECT (patient_id, ts) FROM em)"""
+
+
+SQL["alert_dedup"] = _suppressed(1)
+SQL["alert_dedup_day"] = _suppressed(24)
+
 # ---- streams: the same as in batch, over checked records ------------------------------------------
 
 OK = "v0 AS (SELECT * FROM c WHERE reason IS NULL)"

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import rules
-from vigil.operators import alarms, curves, drift, history, joins, labels, metrics, models, prep, quality, tuning, views
+from vigil.operators import alarms, curves, drift, history, joins, labels, metrics, models, prep, quality, suppression
+from vigil.operators import tuning, views
 from vigil.operators.rolling import features, latest_features, rolling
 from vigil.plans import inputs
 from vigil.schema import HOUR, KEY, LABEL, LABS, STATS, TIE, VITALS, feature_names
@@ -287,6 +288,16 @@ def onset_rows(spark, sf_dir):
     return alarms.onset_rows(inputs.scores(spark, sf_dir))
 
 
+@query
+def alert_dedup(spark, sf_dir):
+    return iso(rounded(suppression.suppress_repeats(alert_rows(spark, sf_dir))), "timestamp")
+
+
+@query
+def alert_dedup_day(spark, sf_dir):
+    return iso(rounded(suppression.suppress_repeats(alert_rows(spark, sf_dir), gap_hours=24)), "timestamp")
+
+
 @query
 def online_decision(spark, sf_dir):
     return rounded(decisions(spark, sf_dir).select(KEY, HOUR, "proba", F.col("streak").cast("int").alias("streak"), "muted", "alarm"))
@@ -667,7 +678,7 @@ def _arrivals(spark, sf_dir):
     path = shared_dir(spark, "arrivals")
     rows = inputs.vitals(spark, sf_dir).drop("second_proba")
     for band in (F.col(HOUR) < 20, F.col(HOUR).between(20, 45), F.col(HOUR) > 45):
-        rows.filter(band).write.mode("append").json(path)
+        rows.filter(band).write.mode("append").option("timestampNTZFormat", files.ISO_MICROS).json(path)
         yield path
 
 

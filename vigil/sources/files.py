@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.rules import nan_to_null
+from vigil.operators.slices import join_per_key
 from vigil.schema import HOUR, KEY, LABEL, psv_schema, record_schema
 
+HOURS_PER_FILE = 100_000
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SPLITS = ("train", "val", "test")
 
 
@@ -38,12 +41,12 @@ def read_psv(
 def write_psv(df: DataFrame, path: str, columns=None) -> None:
     """The same layout with a folder per patient, so that a long stay may spread over several files."""
     kept = columns or [f.name for f in psv_schema().fields]
-    out = df.select(KEY, *kept)
-    out.write.partitionBy(KEY).options(sep="|", header=True, nullValue="NaN").mode("overwrite").csv(path)
+    out = df.select(KEY, *kept).repartition(KEY, F.floor(F.col(HOUR) / HOURS_PER_FILE))
+    out.sortWithinPartitions(KEY, HOUR).write.partitionBy(KEY).options(sep="|", header=True, nullValue="NaN").mode("overwrite").csv(path)
 
 
 def write_splits(df: DataFrame, splits: DataFrame, path: str) -> None:
-    df.join(splits, KEY).write.partitionBy("split").mode("overwrite").parquet(path)
+    join_per_key(df, splits).write.partitionBy("split").mode("overwrite").parquet(path)
 
 
 def read_split(spark: SparkSession, path: str, split: str, required=True) -> DataFrame | None:
@@ -62,7 +65,8 @@ def by_day(df: DataFrame, ts: str) -> DataFrame:
 
 def write_landing(df: DataFrame, path: str, ts="event_ts", form="json") -> None:
     """Records as they came, in folders per day."""
-    by_day(df, ts).write.partitionBy("year", "month", "day").format(form).mode("append").save(path)
+    writer = by_day(df, ts).write.partitionBy("year", "month", "day").format(form).mode("append")
+    writer.option("timestampNTZFormat", ISO_MICROS).save(path)
 
 
 def read_landing(spark: SparkSession, path: str, form="json") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from vigil.functions.rules import accepted, quarantined, whole_hours
 from vigil.operators.rolling import feature_row
 from vigil.schema import HOUR, KEY, LABEL, MODEL_DEMOGRAPHICS, PROBAS_KEPT, TIE, VITALS, record_schema, rolling_names
-from vigil.sources.files import by_day
+from vigil.sources.files import ISO_MICROS, by_day
 from vigil.streaming.state import RollingVitals, streak_processor
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -92,6 +92,7 @@ def run_available(out: DataFrame, path: str, checkpoint: str, partitions=None, p
     """Work through everything that has arrived and stop; started again, it goes on from the checkpoint."""
     with stream_settings(out.sparkSession, partitions):
         writer = out.writeStream.format(form).outputMode("append").trigger(availableNow=True)
+        writer = writer.option("timestampNTZFormat", ISO_MICROS)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         query = writer.option("checkpointLocation", checkpoint).start(path)
