@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.schema import KEY, ORDER
+from vigil.session import written
 
 MAX_HOT_KEYS = 100_000
 ROWS_PER_SLICE = 1_000_000
@@ -72,7 +73,8 @@ def sliced(
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("_n", T.LongType())])
     large = F.broadcast(df.sparkSession.createDataFrame(found, schema))
     axis = F.col(order[0]) if axis is None else axis
-    hot = df.join(large, keys).withColumn("_axis", axis.cast("double"))
+    # Rows of large keys are read several times below: they are computed once and written.
+    hot = written(df.join(large, keys).withColumn("_axis", axis.cast("double")), "large-keys")
     span = hot.groupBy(*keys, "_n").agg(F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / F.lit(rows))
     ranged = hot.drop("_n").join(F.broadcast(span), keys).withColumn(
@@ -94,6 +96,7 @@ def sliced(
     starts = sizes.select(*place, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*place).orderBy(*order)
     placed = ranged.join(starts, place).withColumn(POS, F.col("_start") + F.row_number().over(inside) - 1)
+    placed = written(placed.select(*df.columns, POS), "placed")
     placed = placed.withColumns({SLICE: F.floor(F.col(POS) / rows).cast("long"), COPY: F.lit(False)})
     if halo:
         near_end = F.col(POS) % rows >= rows - halo
@@ -157,9 +160,9 @@ def running_max(df: DataFrame, columns: dict[str, Column], key=KEY, order=ORDER,
     out = base.withColumns({n: F.max(f"_now_{n}").over(w) for n in columns})
     if found:
         before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        per_slice = base.groupBy(*keys, SLICE).agg(*[F.max(f"_now_{n}").alias(f"_m_{n}") for n in columns])
+        per_slice = base.filter(F.col(POS).isNotNull()).groupBy(*keys, SLICE).agg(*[F.max(f"_now_{n}").alias(f"_m_{n}") for n in columns])
         carried = per_slice.select(*keys, SLICE, *[F.max(f"_m_{n}").over(before).alias(f"_from_{n}") for n in columns])
-        out = out.join(carried, [*keys, SLICE])
+        out = out.join(F.broadcast(carried), [*keys, SLICE], "left")
         out = out.withColumns({n: F.greatest(n, f"_from_{n}") for n in columns})
     return unsliced(out).select(*df.columns, *columns)
 

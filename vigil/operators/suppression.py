@@ -19,6 +19,7 @@ from vigil.operators.slices import (
     COPY, POS, ROWS_PER_SLICE, SLICE, large_keys, micros, running_max, slice_window, sliced, unsliced,
 )
 from vigil.schema import KEY
+from vigil.session import written
 
 NEVER = -(2**62)
 
@@ -99,7 +100,7 @@ def _slice_emitted(gap: int):
 
 def _emitted_in_slices(islands: DataFrame, gap: int, rows: int, order, found) -> DataFrame:
     cut = _real_rows(sliced(islands, KEY, ("_at", *order[1:]), axis=F.col("_at"), rows_per_slice=rows, found=found))
-    cut = cut.select(KEY, "_island", SLICE, "_at")
+    cut = written(cut.select(KEY, "_island", SLICE, "_at"), "island-slices")
     group = [KEY, "_island", SLICE]
     kinds = {f: cut.schema[f].dataType for f in group}
     keys = T.StructType([T.StructField(f, t) for f, t in kinds.items()])
@@ -131,6 +132,7 @@ def suppress_repeats(
     islands = _islands(alerts, order, width, rows)
     found = large_keys(alerts, KEY, rows)
     if found:
+        islands = written(islands, "islands")
         kept = _emitted_in_slices(islands, width, rows, order, found)
     else:
         times = F.sort_array(F.collect_list("_at"))
