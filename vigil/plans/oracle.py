@@ -239,7 +239,7 @@ SQL["vitals_history"] = w(V) + f"SELECT patient_id, {iso('event_ts', 'timestamp'
 SQL["chart_series"] = w(V, f"l AS (SELECT * FROM v {_newest(24)})") + f"""SELECT patient_id, count(*) AS n_points,
   {r('max(HR)', 'max_hr')}, {r('min(MAP)', 'min_map')}, count(Temp) AS n_temps FROM l GROUP BY patient_id"""
 SQL["proba_history"] = w(V, RUNS) + f"SELECT patient_id, {iso('event_ts', 'timestamp')}, {r('proba', 'proba')}, alarm, streak FROM d {_newest(24)}"
-SQL["proba_window"] = w(V, f"l AS (SELECT * FROM v {_newest(48)})") + f"SELECT patient_id, count(*) AS n, {r('avg(proba)', 'mean_proba')} FROM l GROUP BY patient_id"
+SQL["proba_window"] = w(V, f"l AS (SELECT * FROM v {_newest(48)})") + f"SELECT patient_id, count(*) AS n, {r('sum(proba)', 'sum_proba')} FROM l GROUP BY patient_id"
 SQL["alert_log"] = w(V, RUNS) + f"""SELECT patient_id, {iso('event_ts', 'timestamp')}, {r('proba', 'proba')}, ICULOS AS iculos_hours,
   streak AS consecutive_above FROM d WHERE alarm"""
 SQL["prediction_archive"] = w(V, RUNS) + f"""SELECT patient_id, ICULOS, {iso('event_ts', 'timestamp')}, {r('proba', 'probability')},

@@ -235,7 +235,7 @@ def proba_history(spark, sf_dir):
 @query
 def proba_window(spark, sf_dir):
     kept = history.proba_window(inputs.scores(spark, sf_dir))
-    return rounded(kept.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.avg("proba").alias("mean_proba")))
+    return rounded(kept.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.sum("proba").alias("sum_proba")))
 
 
 @query
@@ -670,8 +670,6 @@ def board_counts(spark, sf_dir):
 
 # ---- streams -------------------------------------------------------------------------------------
 
-STATE_PARTITIONS = 8
-
 
 def _arrivals(spark, sf_dir):
     """Hour bands of the records as JSON, handed over one after the other: yields the folder."""
@@ -682,12 +680,12 @@ def _arrivals(spark, sf_dir):
         yield path
 
 
-def _streamed(spark, sf_dir, job, name, partitions=STATE_PARTITIONS) -> DataFrame:
+def _streamed(spark, sf_dir, job, name) -> DataFrame:
     """Run a stream over the arrivals, stopped and started again between the bands."""
     out, checkpoint = shared_dir(spark, name), shared_dir(spark, f"{name}-checkpoint")
     for path in _arrivals(spark, sf_dir):
         stream = job(jobs.read_records(spark, path))
-        jobs.run_available(stream, out, checkpoint, partitions)
+        jobs.run_available(stream, out, checkpoint, partitions=spark.sparkContext.defaultParallelism)
     return spark.read.schema(stream.schema).parquet(out)
 
 

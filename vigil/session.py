@@ -21,6 +21,7 @@ def build_session(app: str = "vigil", cores: str | int = "*", partitions: int |
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("VIGIL_DRIVER_MEMORY", "12g"))
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.host", "127.0.0.1")
     )
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
