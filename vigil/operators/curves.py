@@ -46,8 +46,9 @@ def score_steps(df: DataFrame, score="proba", label="SepsisLabel", lo=0.0, hi=1.
     )
     points = points.withColumn("_cell", cell("threshold", lo, hi))
     steps = running_totals(points, [], "_cell", ["threshold"], {"pos": "tp", "neg": "fp"}, descending=True)
-    totals = {"p": points.agg(F.sum("pos")).scalar(), "n": points.agg(F.sum("neg")).scalar()}
-    return steps.drop("_cell").withColumns(totals)
+    totals = points.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
+    steps = steps.drop("_cell").withColumn("_totals", totals)
+    return steps.select("*", "_totals.p", "_totals.n").drop("_totals")
 
 
 def roc_curve(steps: DataFrame) -> DataFrame:
@@ -71,16 +72,23 @@ def pr_curve(steps: DataFrame) -> DataFrame:
     return points.unionByName(end)
 
 
+def auroc_of_steps() -> Column:
+    ranked_right = F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2)
+    return F.sum(ranked_right) / (F.max("p").cast("double") * F.max("n"))
+
+
 def auroc(steps: DataFrame) -> DataFrame:
     """Share of positive-negative pairs ranked right, ties counting half."""
-    ranked_right = F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2)
-    return steps.agg((F.sum(ranked_right) / (F.max("p").cast("double") * F.max("n"))).alias("auroc"))
+    return steps.agg(auroc_of_steps().alias("auroc"))
+
+
+def average_precision_of_steps() -> Column:
+    return F.sum(F.col("pos") / F.col("p") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
 
 
 def average_precision(steps: DataFrame) -> DataFrame:
     """Sum of recall steps times the precision there (steps, not trapezoids)."""
-    part = F.col("pos") / F.col("p") * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    return steps.agg(F.sum(part).alias("average_precision"))
+    return steps.agg(average_precision_of_steps().alias("average_precision"))
 
 
 def sensitivity_at_specificity(steps: DataFrame, specificity: float = 0.95) -> DataFrame:

@@ -20,21 +20,25 @@ def patient_utility(outcomes: DataFrame) -> DataFrame:
     return outcomes.withColumn("_units", units).withColumn("utility", F.col("_units") / UNIT)
 
 
-def normalized_utility(outcomes: DataFrame) -> DataFrame:
-    """Sum of utilities over the best possible sum, 0 without septic patients; patients by outcome.
-
-    Any alarm on a septic patient counts as a true positive, whatever its timing.
-    """
+def _utility_sums(outcomes: DataFrame, more=()) -> DataFrame:
     alarm, septic = F.col("t_alarm").isNotNull(), F.col("t_onset").isNotNull()
     sums = patient_utility(outcomes).agg(
         (F.coalesce(F.sum("_units"), F.lit(0)) / UNIT).alias("raw_utility"),
         count_where(septic).cast("double").alias("max_utility"),
         count_where(septic & alarm).alias("tp"), count_where(septic & ~alarm).alias("fn"),
-        count_where(~septic & alarm).alias("fp"), count_where(~septic & ~alarm).alias("tn"),
+        count_where(~septic & alarm).alias("fp"), count_where(~septic & ~alarm).alias("tn"), *more,
     )
     return sums.withColumn("normalized_utility", _ratio("raw_utility", "max_utility"))
 
 
+def normalized_utility(outcomes: DataFrame) -> DataFrame:
+    """Sum of utilities over the best possible sum, 0 without septic patients; patients by outcome.
+
+    Any alarm on a septic patient counts as a true positive, whatever its timing.
+    """
+    return _utility_sums(outcomes)
+
+
 def _ratio(a: str, b: str) -> Column:
     return F.when(F.col(b) != 0, F.col(a) / F.col(b)).otherwise(0.0)
 
@@ -51,21 +55,28 @@ def utility_official(outcomes: DataFrame) -> DataFrame:
     return sums.withColumn("normalized", F.when(span != 0, (F.col("observed") - F.col("inaction")) / span).otherwise(0.0))
 
 
+def _ahead() -> Column:
+    return F.when(F.col("t_alarm") <= F.col("t_onset"), F.col("t_onset") - F.col("t_alarm"))
+
+
 def per_patient_results(outcomes: DataFrame) -> DataFrame:
-    ahead = F.when(F.col("t_alarm") <= F.col("t_onset"), F.col("t_onset") - F.col("t_alarm"))
     return outcomes.select(
         "patient_id", F.col("t_onset").isNotNull().alias("is_sepsis"), F.col("t_alarm").isNotNull().alias("has_alarm"),
-        "t_onset", "t_alarm", ahead.alias("alert_ahead_h"), "max_proba",
+        "t_onset", "t_alarm", _ahead().alias("alert_ahead_h"), "max_proba",
     )
 
 
-def lead_times(results: DataFrame, longest: float = 1000.0) -> DataFrame:
+def _lead_aggregates():
+    """Leads are whole hours, so the exact median needs one counter per hour of the longest stay."""
+    return [
+        F.avg("alert_ahead_h").alias("alert_ahead_mean_h"), F.count("alert_ahead_h").alias("alert_ahead_n_patients"),
+        F.percentile("alert_ahead_h", F.lit(0.5)).alias("alert_ahead_median_h"),
+    ]
+
+
+def lead_times(results: DataFrame) -> DataFrame:
     """Mean, exact median and number of patients whose alarm came in time."""
-    ahead = results.filter(F.col("alert_ahead_h").isNotNull()).select(F.col("alert_ahead_h").cast("double").alias("h"))
-    median = curves.exact_quantiles(ahead, [], "h", [0.5], 0.0, longest).select("quantile").scalar()
-    return ahead.agg(
-        F.avg("h").alias("alert_ahead_mean_h"), F.count(F.lit(1)).alias("alert_ahead_n_patients")
-    ).withColumn("alert_ahead_median_h", median)
+    return results.agg(*_lead_aggregates())
 
 
 def confusion(df: DataFrame, threshold: float, score="proba", label=LABEL) -> DataFrame:
@@ -78,27 +89,29 @@ def confusion(df: DataFrame, threshold: float, score="proba", label=LABEL) -> Da
 
 
 def evaluation_summary(df: DataFrame, threshold, min_consecutive, warmup_hours, specificity=0.95) -> DataFrame:
-    """One row with every test metric of a scored table."""
+    """One row with every test metric of a scored table: one pass over the patients' series, one over
+    the distinct scores."""
     outcomes = patient_outcomes(df, above("proba", threshold), min_consecutive, warmup_hours)
+    row = _utility_sums(outcomes.withColumn("alert_ahead_h", _ahead()), _lead_aggregates())
+
     steps = curves.score_steps(df)
-    sens = curves.sensitivity_at_specificity(steps, specificity)
-    cells = confusion(df, threshold)
-    leads = lead_times(per_patient_results(outcomes))
-    row = normalized_utility(outcomes).withColumns(
-        {
-            "threshold": F.lit(float(threshold)),
-            "min_consecutive": F.lit(int(min_consecutive)),
-            "warmup_hours": F.lit(int(warmup_hours)),
-            "auroc": curves.auroc(steps).scalar(),
-            "auprc": curves.average_precision(steps).scalar(),
-            "sensitivity_at_spec": sens.select("sensitivity").scalar(),
-            "threshold_at_spec": sens.select("threshold").scalar(),
-        }
+    tpr, hit = F.col("tp") / F.col("p"), F.col("threshold") >= threshold
+    enough = 1 - F.col("fp") / F.col("n") >= specificity
+    curve = steps.agg(
+        curves.auroc_of_steps().alias("auroc"), curves.average_precision_of_steps().alias("auprc"),
+        F.max(F.when(enough, F.struct(tpr.alias("tpr"), "threshold"))).alias("best"),
+        F.sum(F.when(hit, 0).otherwise(F.col("neg"))).alias("cm_tn"), F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("cm_fp"),
+        F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("cm_fn"), F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("cm_tp"),
+    )
+    names = ["auroc", "auprc", "cm_tn", "cm_fp", "cm_fn", "cm_tp"]
+    row = row.withColumn("c", curve.select(F.struct("*")).scalar())
+    return row.select(
+        *[c for c in row.columns if c != "c"], *[F.col(f"c.{n}").alias(n) for n in names],
+        F.coalesce("c.best.tpr", F.lit(0.0)).alias("sensitivity_at_spec"),
+        F.coalesce("c.best.threshold", F.lit(float("inf"))).alias("threshold_at_spec"),
+        F.lit(float(threshold)).alias("threshold"), F.lit(int(min_consecutive)).alias("min_consecutive"),
+        F.lit(int(warmup_hours)).alias("warmup_hours"),
     )
-    for part, names in ((cells, ("tn", "fp", "fn", "tp")), (leads, leads.columns)):
-        prefix = "cm_" if part is cells else ""
-        row = row.withColumns({prefix + n: part.select(n).scalar() for n in names})
-    return row
 
 
 def metric_gate(summary: DataFrame, utility=0.35, auroc=0.80, sensitivity=0.40) -> DataFrame:

@@ -6,68 +6,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.slices import micros, with_position
-from vigil.schema import LABS, VITALS
+from vigil.schema import LABS
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def patient_id(user="user_id"):
-    return F.concat(F.lit("p"), F.lpad(F.col(user).cast("string"), 6, "0"))
+# (expression, when it is missing) per vital; all of them are missing where event_id % 89 = 0.
+_VITAL_SQL = {
+    "HR": ("if(event_id % 97 = 0, 500, 50 + (c + event_id * 3) % 100)", "event_id % 10 = 0"),
+    "O2Sat": ("85 + (c + event_id * 5) % 16", "event_id % 8 = 1"),
+    "Temp": ("35 + CAST((c + event_id * 7) % 60 AS DOUBLE) / 10", "event_id % 4 <> 0"),
+    "SBP": ("80 + (c + event_id * 11) % 100", "event_id % 6 = 2"),
+    "MAP": ("50 + (c + event_id * 13) % 70", "event_id % 7 = 3"),
+    "DBP": ("40 + (c + event_id * 17) % 60", "event_id % 3 = 1"),
+    "Resp": ("10 + (c + event_id * 19) % 25", "event_id % 9 = 4"),
+    "EtCO2": ("20 + (c + event_id * 23) % 40", "event_id % 20 <> 0"),
+}
+_LAB_STEP = {"WBC": 29, "Lactate": 41, "FiO2": 43}
+
+
+def _proba(step: int) -> str:
+    ripple = f"CAST((c + event_id * {step}) % 500 AS DOUBLE) / 1000"
+    return f"{ripple} + if((pos + 1 + user_id) % 30 < 12, 0.4D, 0.0D)"
 
 
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly patient records: one per event, integer arithmetic only."""
-    base = events(spark, sf_dir).select(
-        "event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("c")
-    )
+    base = events(spark, sf_dir).selectExpr("event_id", "user_id", "ts", "CAST(round(value * 100) AS BIGINT) AS c")
     placed = with_position(base, "pos", "user_id", ("ts", "event_id"), axis=micros("ts"))
-    event, user, hour = F.col("event_id"), F.col("user_id"), (F.col("pos") + 1).cast("int")
-
-    def spread(step: int, size: int):
-        return (F.col("c") + event * step) % size
-
-    raw = {
-        "HR": (50 + spread(3, 100), event % 10 == 0),
-        "O2Sat": (85 + spread(5, 16), event % 8 == 1),
-        "Temp": (35 + spread(7, 60).cast("double") / 10, event % 4 != 0),
-        "SBP": (80 + spread(11, 100), event % 6 == 2),
-        "MAP": (50 + spread(13, 70), event % 7 == 3),
-        "DBP": (40 + spread(17, 60), event % 3 == 1),
-        "Resp": (10 + spread(19, 25), event % 9 == 4),
-        "EtCO2": (20 + spread(23, 40), event % 20 != 0),
-    }
-    raw["HR"] = (F.when(event % 97 == 0, 500).otherwise(raw["HR"][0]), raw["HR"][1])
-    columns = {
-        v: F.when(raw[v][1] | (event % 89 == 0), None).otherwise(raw[v][0].cast("double")) for v in VITALS
-    }
-    for lab, step in (("WBC", 29), ("Lactate", 41), ("FiO2", 43)):
-        columns[lab] = F.when(event % 12 == 5, (2 + spread(step, 14)).cast("double"))
-    for lab in LABS:
-        columns.setdefault(lab, F.lit(None).cast("double"))
-    columns |= {
-        "Age": (20 + user * 7 % 70).cast("double"),
-        "Gender": (user % 2).cast("double"),
-        "Unit1": (user % 4 == 0).cast("double"),
-        "Unit2": (user % 4 != 0).cast("double"),
-        "HospAdmTime": (-(user * 13 % 300)).cast("double"),
-        "SepsisLabel": ((user % 3 == 0) & (hour >= 20 + user % 25)).cast("int"),
-        "proba": _proba(31),
-        "second_proba": _proba(37),
-    }
-    return placed.select(
-        patient_id().alias("patient_id"), hour.alias("ICULOS"), F.col("ts").alias("event_ts"), "event_id",
-        *[expression.alias(name) for name, expression in columns.items()],
+    signs = [
+        f"if({missing} OR event_id % 89 = 0, NULL, CAST({value} AS DOUBLE)) AS {v}"
+        for v, (value, missing) in _VITAL_SQL.items()
+    ]
+    labs = [
+        f"if(event_id % 12 = 5, CAST(2 + (c + event_id * {_LAB_STEP[lab]}) % 14 AS DOUBLE), NULL) AS {lab}"
+        if lab in _LAB_STEP else f"CAST(NULL AS DOUBLE) AS {lab}"
+        for lab in LABS
+    ]
+    return placed.selectExpr(
+        "concat('p', lpad(CAST(user_id AS STRING), 6, '0')) AS patient_id", "CAST(pos + 1 AS INT) AS ICULOS",
+        "ts AS event_ts", "event_id", *signs, *labs,
+        "CAST(20 + user_id * 7 % 70 AS DOUBLE) AS Age", "CAST(user_id % 2 AS DOUBLE) AS Gender",
+        "CAST(user_id % 4 = 0 AS DOUBLE) AS Unit1", "CAST(user_id % 4 <> 0 AS DOUBLE) AS Unit2",
+        "CAST(-(user_id * 13 % 300) AS DOUBLE) AS HospAdmTime",
+        "CAST(user_id % 3 = 0 AND pos + 1 >= 20 + user_id % 25 AS INT) AS SepsisLabel",
+        f"{_proba(31)} AS proba", f"{_proba(37)} AS second_proba",
     )
 
 
-def _proba(step: int):
-    ripple = ((F.col("c") + F.col("event_id") * step) % 500).cast("double") / 1000
-    wave = (F.col("pos") + 1 + F.col("user_id")) % 30 < 12
-    return ripple + F.when(wave, F.lit(0.4)).otherwise(F.lit(0.0))
-
-
 def scores(spark, sf_dir) -> DataFrame:
     return vitals(spark, sf_dir).select(
         "patient_id", "ICULOS", "event_id", "event_ts", "SepsisLabel", "proba"

@@ -31,7 +31,7 @@ def query(function):
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to a fixed number of digits, without negative zero, so that engines agree."""
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c, t in df.dtypes if t == "double"})
+    return df.selectExpr(*[f"round(`{c}`, {digits}) + 0D AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes])
 
 
 def iso(df: DataFrame, *columns) -> DataFrame:

@@ -17,6 +17,7 @@ def build_session(app: str = "vigil", cores: str | int = "*", partitions: int |
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("VIGIL_DRIVER_MEMORY", "12g"))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from vigil.schema import HOUR, KEY, ORDER, VITALS, WINDOWS, feature_name
+from vigil.schema import ORDER, VITALS, WINDOWS, feature_name
 
 
 def window_stats(values: np.ndarray, rows: int, first: int) -> list[np.ndarray]:
@@ -34,19 +34,20 @@ class RollingVitals(StatefulProcessor):
     """Keeps the newest 23 records of a patient and adds the 120 rolling columns to each new one."""
 
     def init(self, handle) -> None:
-        self.kept = handle.getListState("kept", T.StructType([T.StructField(v, T.DoubleType()) for v in VITALS]))
+        # One value per patient: a state call is a round trip, a list would make many.
+        self.kept = handle.getValueState("kept", T.StructType([T.StructField("values", T.ArrayType(T.DoubleType()))]))
 
     def handleInputRows(self, key, rows, timerValues):
         new = pd.concat(list(rows), ignore_index=True).sort_values(list(ORDER), kind="stable")
-        old = [[np.nan if x is None else x for x in r] for r in self.kept.get()] if self.kept.exists() else []
-        fresh = new[VITALS].to_numpy(dtype=float)
-        values = np.vstack([np.array(old, dtype=float).reshape(len(old), len(VITALS)), fresh])
+        kept = self.kept.get()
+        old = np.array(kept[0] if kept else [], dtype=float).reshape(-1, len(VITALS))
+        values = np.vstack([old, new[VITALS].to_numpy(dtype=float)])
         out = {c: new[c].to_numpy() for c in new.columns}
         for hours in WINDOWS:
             for stat, table in zip(("mean", "std", "min", "max", "slope"), window_stats(values, hours, len(old))):
                 out |= {feature_name(stat, v, hours): table[:, i] for i, v in enumerate(VITALS)}
         keep = values[-(max(WINDOWS) - 1):]
-        self.kept.put([tuple(None if np.isnan(x) else float(x) for x in r) for r in keep])
+        self.kept.update((keep.ravel().tolist(),))
         yield pd.DataFrame(out)
 
     def close(self) -> None:
@@ -62,7 +63,8 @@ def streak_processor(threshold: float, min_consecutive: int, warmup_hours: int,
 
         def handleInputRows(self, key, rows, timerValues):
             new = pd.concat(list(rows), ignore_index=True).sort_values(list(ORDER), kind="stable")
-            now = self.streak.get()[0] if self.streak.exists() else 0
+            kept = self.streak.get()
+            now = kept[0] if kept else 0
             streaks = []
             for hit in (new["proba"] >= threshold):
                 now = min(now + 1, history) if hit else 0
@@ -77,6 +79,3 @@ def streak_processor(threshold: float, min_consecutive: int, warmup_hours: int,
 
     return Streaks()
 
-
-def names() -> list[str]:
-    return [KEY, HOUR]
