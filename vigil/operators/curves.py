@@ -19,16 +19,21 @@ def cell(value: Column | str, lo, hi) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), step)).cast("long")
 
 
-def running_totals(df, keys, cell_col, order, sums: dict[str, str], descending=False) -> DataFrame:
-    """Add ``sums[c]``: total of column ``c`` over all rows up to this one, per key, in order.
+def running_totals(df, keys, cell_col, order, sums: dict[str, str], descending=False, totals=None) -> DataFrame:
+    """Add ``sums[c]``: total of column ``c`` over all rows up to this one, per key, in order; and
+    ``totals[c]``: its total over the whole key.
 
     ``cell_col`` must follow the first order column; there are at most ``CELLS`` of them per key.
     """
-    totals = df.groupBy(*keys, cell_col).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    totals = totals or {}
+    per_cell = df.groupBy(*keys, cell_col).agg(*[F.sum(c).alias(f"_sum_{c}") for c in {**sums, **totals}])
     turn = F.desc if descending else F.asc
     before = Window.partitionBy(*keys).orderBy(turn(cell_col)).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *keys, cell_col, *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_from_{c}") for c in sums]
+    whole = Window.partitionBy(*keys)
+    starts = per_cell.select(
+        *keys, cell_col,
+        *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_from_{c}") for c in sums],
+        *[F.sum(f"_sum_{c}").over(whole).alias(name) for c, name in totals.items()],
     )
     inside = Window.partitionBy(*keys, cell_col).orderBy(*[turn(c) for c in order])
     inside = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -45,10 +50,10 @@ def score_steps(df: DataFrame, score="proba", label="SepsisLabel", lo=0.0, hi=1.
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
     )
     points = points.withColumn("_cell", cell("threshold", lo, hi))
-    steps = running_totals(points, [], "_cell", ["threshold"], {"pos": "tp", "neg": "fp"}, descending=True)
-    totals = points.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    steps = steps.drop("_cell").withColumn("_totals", totals)
-    return steps.select("*", "_totals.p", "_totals.n").drop("_totals")
+    steps = running_totals(
+        points, [], "_cell", ["threshold"], {"pos": "tp", "neg": "fp"}, descending=True, totals={"pos": "p", "neg": "n"}
+    )
+    return steps.drop("_cell")
 
 
 def roc_curve(steps: DataFrame) -> DataFrame:
@@ -106,12 +111,7 @@ def exact_quantiles(df: DataFrame, keys, value, quantiles, lo, hi) -> DataFrame:
         F.count(F.lit(1)).alias("_n")
     )
     counts = counts.withColumn("_cell", cell("_v", lo, hi))
-    ranked = running_totals(counts, keys, "_cell", ["_v"], {"_n": "_upto"})
-    if keys:
-        totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-        ranked = ranked.join(totals, keys)
-    else:
-        ranked = ranked.withColumn("_total", counts.agg(F.sum("_n")).scalar())
+    ranked = running_totals(counts, keys, "_cell", ["_v"], {"_n": "_upto"}, totals={"_n": "_total"})
     # A value holds ranks [_upto - _n, _upto); a quantile needs those at floor and ceil of (total - 1) q.
     first = F.col("_upto") - F.col("_n")
 

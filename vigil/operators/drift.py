@@ -54,23 +54,26 @@ def column_distances(reference: DataFrame, current: DataFrame, columns=VITALS) -
         F.sum("is_ref").alias("r"), F.sum(1 - F.col("is_ref")).alias("c")
     )
     counts = counts.withColumn("_cell", cell("value", _limit(0), _limit(1)))
-    ranked = running_totals(counts, ["feature"], "_cell", ["value"], {"r": "cum_r", "c": "cum_c"})
-    totals = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+    ranked = running_totals(
+        counts, ["feature"], "_cell", ["value"], {"r": "cum_r", "c": "cum_c"}, totals={"r": "n_ref", "c": "n_cur"}
+    )
     gap = F.abs(F.col("cum_r") / F.col("n_ref") - F.col("cum_c") / F.col("n_cur"))
     inside = Window.partitionBy("feature", "_cell").orderBy("value")
-    steps = ranked.join(F.broadcast(totals), "feature").withColumn("gap", gap)
+    steps = ranked.withColumn("gap", gap)
     steps = steps.withColumn("width", F.lead("value").over(inside) - F.col("value"))
     cells = steps.groupBy("feature", "_cell").agg(
         F.max("gap").alias("ks"), F.coalesce(F.sum(F.col("gap") * F.col("width")), F.lit(0.0)).alias("area"),
         F.min("value").alias("first"), F.max("value").alias("last"), F.max_by("gap", "value").alias("last_gap"),
+        F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"),
     )
     across = Window.partitionBy("feature").orderBy("_cell")
     bridge = F.coalesce(F.col("last_gap") * (F.lead("first").over(across) - F.col("last")), F.lit(0.0))
     per_column = cells.withColumn("bridge", bridge).groupBy("feature").agg(
-        F.max("ks").alias("ks"), F.sum(F.col("area") + F.col("bridge")).alias("area")
+        F.max("ks").alias("ks"), F.sum(F.col("area") + F.col("bridge")).alias("area"),
+        F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"),
     )
     spread = reference.agg(*[F.stddev_pop(c).alias(c) for c in columns]).unpivot([], columns, "feature", "spread")
-    out = per_column.join(totals, "feature").join(spread, "feature")
+    out = per_column.join(spread, "feature")
     return out.select(
         "feature", "n_ref", "n_cur", "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
         (F.col("area") / F.greatest("spread", F.lit(0.001))).alias("wasserstein"),

@@ -42,8 +42,7 @@ def patient_split(df: DataFrame, seed: int = 42, train: float = 0.70, val: float
     draw = F.md5(F.concat(F.lit(f"{seed}|"), F.col(KEY)))
     ids = ids.withColumn("_draw", draw).withColumn("_cell", F.conv(F.substring("_draw", 1, 4), 16, 10).cast("long"))
     ids = ids.withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_totals(ids, [], "_cell", ["_draw", KEY], {"_one": "_rank"})
-    ranked = ranked.withColumn("_n", ids.agg(F.count(F.lit(1))).scalar())
+    ranked = running_totals(ids, [], "_cell", ["_draw", KEY], {"_one": "_rank"}, totals={"_one": "_n"})
     n_train = F.floor(F.col("_n") * train)
     n_val = F.floor(F.col("_n") * val)
     return ranked.select(
