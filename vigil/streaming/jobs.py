@@ -8,12 +8,13 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from vigil.functions.rules import accepted, quarantined, whole_hours
 from vigil.operators.rolling import feature_row
-from vigil.schema import HOUR, KEY, LABEL, MODEL_DEMOGRAPHICS, PROBAS_KEPT, TIE, VITALS, record_schema, rolling_names
+from vigil.schema import HOUR, KEY, LABEL, MODEL_DEMOGRAPHICS, PROBAS_KEPT, TIE, VITALS, record_schema
 from vigil.sources.files import ISO_MICROS, by_day
-from vigil.streaming.state import RollingVitals, streak_processor
+from vigil.streaming.state import add_rolled, add_streaks, rolled_order
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -51,11 +52,12 @@ def stream_features(records: DataFrame, extra=(TIE,)) -> DataFrame:
     """The 131 features of each arriving record."""
     needed = [KEY, HOUR, TIE, LABEL, "WBC", *VITALS, *MODEL_DEMOGRAPHICS]
     lean = records.select(*needed)
-    schema = T.StructType([*lean.schema.fields, *[T.StructField(n, T.DoubleType()) for n in rolling_names()]])
-    rolled = lean.groupBy(KEY).transformWithStateInPandas(
-        RollingVitals(), outputStructType=schema, outputMode="Append", timeMode="None"
+    schema = T.StructType([*lean.schema.fields, T.StructField("rolled", T.ArrayType(T.DoubleType()))])
+    rolled = lean.groupBy(KEY).applyInPandasWithState(
+        add_rolled, schema, "values array<double>", "append", GroupStateTimeout.NoTimeout
     )
-    return feature_row(rolled, extra)
+    columns = [f"nanvl(rolled[{i}], NULL) AS {name}" for i, name in enumerate(rolled_order())]
+    return feature_row(rolled.selectExpr(*lean.columns, *columns), extra)
 
 
 def stream_decisions(scored: DataFrame, threshold=0.05, min_consecutive=6, warmup_hours=0, history=PROBAS_KEPT):
@@ -66,9 +68,9 @@ def stream_decisions(scored: DataFrame, threshold=0.05, min_consecutive=6, warmu
         [*lean.schema.fields, T.StructField("streak", T.IntegerType()), T.StructField("muted", T.BooleanType()),
          T.StructField("alarm", T.BooleanType())]
     )
-    return lean.groupBy(KEY).transformWithStateInPandas(
-        streak_processor(threshold, min_consecutive, warmup_hours, history),
-        outputStructType=schema, outputMode="Append", timeMode="None",
+    return lean.groupBy(KEY).applyInPandasWithState(
+        add_streaks(threshold, min_consecutive, warmup_hours, history), schema, "streak int", "append",
+        GroupStateTimeout.NoTimeout,
     )
 
 

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 
-from vigil.schema import ORDER, VITALS, WINDOWS, feature_name
+from vigil.schema import ORDER, STATS, VITALS, WINDOWS, feature_name
 
 
 def window_stats(values: np.ndarray, rows: int, first: int) -> list[np.ndarray]:
@@ -30,52 +28,40 @@ def window_stats(values: np.ndarray, rows: int, first: int) -> list[np.ndarray]:
     return [np.where(none, np.nan, s) for s in (mean, std, low, high, slope)]
 
 
-class RollingVitals(StatefulProcessor):
-    """Keeps the newest 23 records of a patient and adds the 120 rolling columns to each new one."""
+def rolled_order() -> list[str]:
+    return [feature_name(stat, vital, hours) for vital in VITALS for hours in WINDOWS for stat in STATS]
 
-    def init(self, handle) -> None:
-        # One value per patient: a state call is a round trip, a list would make many.
-        self.kept = handle.getValueState("kept", T.StructType([T.StructField("values", T.ArrayType(T.DoubleType()))]))
 
-    def handleInputRows(self, key, rows, timerValues):
-        new = pd.concat(list(rows), ignore_index=True).sort_values(list(ORDER), kind="stable")
-        kept = self.kept.get()
-        old = np.array(kept[0] if kept else [], dtype=float).reshape(-1, len(VITALS))
-        values = np.vstack([old, new[VITALS].to_numpy(dtype=float)])
-        out = {c: new[c].to_numpy() for c in new.columns}
-        for hours in WINDOWS:
-            for stat, table in zip(("mean", "std", "min", "max", "slope"), window_stats(values, hours, len(old))):
-                out |= {feature_name(stat, v, hours): table[:, i] for i, v in enumerate(VITALS)}
-        keep = values[-(max(WINDOWS) - 1):]
-        self.kept.update((keep.ravel().tolist(),))
-        yield pd.DataFrame(out)
+def in_order(frames) -> pd.DataFrame:
+    """The batch's rows of one patient, oldest first; how many there are is set by the batch size."""
+    return pd.concat(list(frames), ignore_index=True).sort_values(list(ORDER), kind="stable")
 
-    def close(self) -> None:
-        pass
 
+def add_rolled(key, frames, state):
+    """Keeps the newest 23 records of a patient and adds the 120 rolling statistics to each new one,
+    as one array in the order of ``rolled_order``; NaN stands for missing."""
+    new = in_order(frames)
+    old = np.array(state.get[0] if state.exists else [], dtype=float).reshape(-1, len(VITALS))
+    values = np.vstack([old, new[VITALS].to_numpy(dtype=float)])
+    # One array column for all statistics: a hundred narrow columns cost far more to hand over.
+    tables = [t for hours in WINDOWS for t in window_stats(values, hours, len(old))]
+    rolled = np.stack(tables, axis=2).reshape(len(new), -1)
+    state.update((values[-(max(WINDOWS) - 1):].ravel().tolist(),))
+    yield new.assign(rolled=list(rolled))
 
-def streak_processor(threshold: float, min_consecutive: int, warmup_hours: int, history: int):
-    """A processor that turns each probability of a patient into one alarm decision."""
 
-    class Streaks(StatefulProcessor):
-        def init(self, handle) -> None:
-            self.streak = handle.getValueState("streak", T.StructType([T.StructField("n", T.IntegerType())]))
-
-        def handleInputRows(self, key, rows, timerValues):
-            new = pd.concat(list(rows), ignore_index=True).sort_values(list(ORDER), kind="stable")
-            kept = self.streak.get()
-            now = kept[0] if kept else 0
-            streaks = []
-            for hit in (new["proba"] >= threshold):
-                now = min(now + 1, history) if hit else 0
-                streaks.append(now)
-            self.streak.update((now,))
-            muted = new["iculos_hours"] < warmup_hours
-            streak = pd.Series(streaks, index=new.index)
-            yield new.assign(streak=streak, muted=muted, alarm=~muted & (streak >= min_consecutive))
-
-        def close(self) -> None:
-            pass
-
-    return Streaks()
+def add_streaks(threshold: float, min_consecutive: int, warmup_hours: int, history: int):
+    """A function that turns each probability of a patient into one alarm decision."""
+    def decide(key, frames, state):
+        new = in_order(frames)
+        now = state.get[0] if state.exists else 0
+        streaks = []
+        for hit in new["proba"] >= threshold:
+            now = min(now + 1, history) if hit else 0
+            streaks.append(now)
+        state.update((now,))
+        muted = new["iculos_hours"] < warmup_hours
+        streak = pd.Series(streaks, index=new.index)
+        yield new.assign(streak=streak, muted=muted, alarm=~muted & (streak >= min_consecutive))
 
+    return decide
