@@ -27,3 +27,12 @@ def test_stream_decisions_over_batches_and_restart(spark, vitals):
 def test_stream_features_has_every_feature(spark):
     stream = jobs.stream_features(jobs.checked(jobs.read_records(spark, tempfile.mkdtemp())))
     assert stream.isStreaming and set(feature_names()) <= set(stream.columns)
+
+
+def test_repeats_are_dropped_within_the_delay(spark, vitals):
+    folder = tempfile.mkdtemp(prefix="vigil-repeats-")
+    rows = vitals.drop("second_proba")
+    rows.unionByName(rows.filter("event_id % 5 = 0")).write.option("timestampNTZFormat", ISO_MICROS).json(f"{folder}/in")
+    stream = jobs.without_repeats(jobs.read_records(spark, f"{folder}/in"))
+    jobs.run_available(stream, f"{folder}/out", f"{folder}/checkpoint", partitions=4)
+    assert spark.read.parquet(f"{folder}/out").count() == rows.count()
