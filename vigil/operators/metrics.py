@@ -170,8 +170,8 @@ def subgroup_gaps(groups: DataFrame, allowed: float = 0.15) -> DataFrame:
     return out.withColumn("passed", F.col("sensitivity_gap") <= allowed)
 
 
-def pipeline_counters(records: DataFrame, decisions: DataFrame) -> DataFrame:
-    """What a run of the record pipeline would have counted.
+def record_counters(records: DataFrame, decisions: DataFrame) -> DataFrame:
+    """What a run over arriving records would have counted.
 
     ``records`` is everything that arrived; ``decisions`` holds a row per scored hour.
     """

@@ -150,11 +150,13 @@ def hour_slices(df: DataFrame, back: int, width: int = 4096, hour: str = "ICULOS
     )
 
 
-def running_max(df: DataFrame, columns: dict[str, Column], key=KEY, order=ORDER, rows_per_slice=None) -> DataFrame:
+def running_max(
+    df: DataFrame, columns: dict[str, Column], key=KEY, order=ORDER, rows_per_slice=None, found: list | None = None
+) -> DataFrame:
     """Add the largest value so far of each expression, however far back. On large keys each slice
     starts from the maximum of the slices before it."""
     keys, rows = _names(key), rows_per_slice or ROWS_PER_SLICE
-    found = large_keys(df, keys, rows)
+    found = large_keys(df, keys, rows) if found is None else found
     base = sliced(df, key, order, rows_per_slice=rows, found=found).withColumns({f"_now_{n}": e for n, e in columns.items()})
     w = slice_window(key, order)
     out = base.withColumns({n: F.max(f"_now_{n}").over(w) for n in columns})

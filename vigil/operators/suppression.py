@@ -24,16 +24,17 @@ from vigil.session import written
 NEVER = -(2**62)
 
 
-def _islands(alerts: DataFrame, order, gap: int, rows: int) -> DataFrame:
+def _islands(alerts: DataFrame, order, gap: int, rows: int, found: list) -> DataFrame:
     """Add ``_at`` (microseconds) and ``_island`` (its first alert's time)."""
     axis = F.col("_at")
     timed = alerts.withColumn("_at", micros(order[0]))
-    base = sliced(timed, KEY, order, halo=1, axis=axis, rows_per_slice=rows)
+    base = sliced(timed, KEY, order, halo=1, axis=axis, rows_per_slice=rows, found=found)
     before = F.lag("_at").over(slice_window(KEY, order))
     starts = F.when(before.isNull() | (axis - before >= gap), axis)
     marked = unsliced(base.withColumn("_first", starts))
     # ``_first`` grows with time, so the newest one seen is the largest one seen.
-    return running_max(marked, {"_island": F.col("_first")}, KEY, ("_at", *order[1:]), rows_per_slice=rows).drop("_first")
+    out = running_max(marked, {"_island": F.col("_first")}, KEY, ("_at", *order[1:]), rows, found)
+    return out.drop("_first")
 
 
 def _walk(times, gap: int):
@@ -129,8 +130,8 @@ def suppress_repeats(
     """
     rows = rows_per_slice or ROWS_PER_SLICE
     width = int(gap_hours * 3_600_000_000)
-    islands = _islands(alerts, order, width, rows)
     found = large_keys(alerts, KEY, rows)
+    islands = _islands(alerts, order, width, rows, found)
     if found:
         islands = written(islands, "islands")
         kept = _emitted_in_slices(islands, width, rows, order, found)

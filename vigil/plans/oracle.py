@@ -370,7 +370,7 @@ sm AS (SELECT *, CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) END AS sensit
 SQL["subgroup_metrics"] = w(V, SUBGROUPS) + f"SELECT attribute, value, tp, fn, fp, tn, {r('sensitivity', 'sensitivity')}, {r('specificity', 'specificity')} FROM sm"
 SQL["subgroup_gaps"] = w(V, SUBGROUPS) + f"""SELECT attribute, {r('max(sensitivity) - min(sensitivity)', 'sensitivity_gap')},
   max(sensitivity) - min(sensitivity) <= 0.15::DOUBLE AS passed FROM sm GROUP BY attribute"""
-SQL["pipeline_counters"] = w(
+SQL["record_counters"] = w(
     V, CHECKED,
     f"""ok AS (SELECT patient_id, ICULOS, event_id, row_number() OVER (PARTITION BY patient_id ORDER BY ICULOS, event_id) AS pos,
   CAST(proba >= {THR} AS INTEGER) AS up FROM c WHERE reason IS NULL AND event_id % 40 <> 0)""",

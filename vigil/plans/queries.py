@@ -491,10 +491,10 @@ def subgroup_gaps(spark, sf_dir):
 
 
 @query
-def pipeline_counters(spark, sf_dir):
+def record_counters(spark, sf_dir):
     rows = inputs.vitals(spark, sf_dir).withColumn("proba", F.when(F.col(TIE) % 40 != 0, F.col("proba")))
     made = alarms.online_decisions(rules.accepted(rows), THRESHOLD, RUN, WARMUP)
-    return metrics.pipeline_counters(rows, made)
+    return metrics.record_counters(rows, made)
 
 
 # ---- telemetry -----------------------------------------------------------------------------------
