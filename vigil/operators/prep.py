@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.operators.slices import COPY, POS, SLICE, hour_slices, running_max, slice_window, sliced, unsliced
+from vigil.operators.slices import SLICE, hour_slices, running_max, slice_window, sliced, unsliced
 from vigil.schema import HOUR, KEY, LABS, VITALS
 
 # Tighter limits for measuring errors.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.schema import HOUR, KEY, LABS, STATS, VALID_RANGE, VITALS, WINDOWS, feature_name, feature_names
+from vigil.schema import LABS, STATS, VALID_RANGE, VITALS, WINDOWS, feature_name, feature_names
 
 SQL: dict[str, str] = {}
 THR, RUN, WARM = "0.4::DOUBLE", 3, 6

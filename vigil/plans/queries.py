@@ -13,7 +13,7 @@ from vigil.operators import alarms, curves, drift, history, joins, labels, metri
 from vigil.operators import tuning, views
 from vigil.operators.rolling import features, latest_features, rolling
 from vigil.plans import inputs
-from vigil.schema import HOUR, KEY, LABEL, LABS, STATS, TIE, VITALS, feature_names
+from vigil.schema import HOUR, KEY, LABEL, LABS, STATS, TIE, VITALS
 from vigil.session import shared_dir
 from vigil.sources import files
 from vigil.streaming import jobs
