@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import mixing
+from vigil.llm import bpe, mixing, sharding
 
 CATALOGUE = {}
 SQL = {}
@@ -15,10 +15,27 @@ def query(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that the queries use; it lies at the same place on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_bpe(spark, sf_dir):
+    return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query
 def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
