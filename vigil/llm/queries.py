@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import bpe, mixing, sharding
+from vigil.llm import bpe, langid, mixing, sharding, tokenids
 
 CATALOGUE = {}
 SQL = {}
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_langid(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
@@ -36,6 +41,11 @@ def op7_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query
+def op8_tokenids(spark, sf_dir):
+    return tokenids.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query
 def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
