@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import bpe, jaccard, langid, mixing, sharding, tokenids
+from vigil.llm import bpe, jaccard, langid, mixing, nearvec, sharding, simhash, tokenids
 
 CATALOGUE = {}
 SQL = {}
@@ -31,6 +31,11 @@ def op1_langid(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_nearvec(spark, sf_dir):
+    return nearvec.dedup(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_jaccard(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"), shingle=4, percent=85)
@@ -41,6 +46,11 @@ def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_simhash(spark, sf_dir):
+    return simhash.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
