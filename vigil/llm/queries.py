@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import bpe, jaccard, langid, mixing, nearvec, sharding, simhash, tokenids
+from vigil.llm import bpe, jaccard, langid, licenses, mainhtml, mixing, nearvec, sharding, simhash, tokenids
 
 CATALOGUE = {}
 SQL = {}
@@ -46,6 +46,11 @@ def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_simhash(spark, sf_dir):
     return simhash.digest(table(spark, sf_dir, "documents"))
@@ -61,6 +66,11 @@ def op8_tokenids(spark, sf_dir):
     return tokenids.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query
+def op9_mainhtml(spark, sf_dir):
+    return mainhtml.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
