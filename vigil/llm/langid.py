@@ -145,19 +145,19 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     return network
 
 
-def predict(docs: DataFrame, network: Network | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of ``docs`` with lang_pred and score (the class's mean probability).
+def predict(docs: DataFrame, network: Network | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of ``docs`` with the language and its score (the class's mean probability), named by ``out``.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every text when there is no network. Every
     window of the whole text counts. Nothing is shuffled; memory is bounded by a few MB of text or the longest text.
     """
     sent = docs.sparkSession.sparkContext.broadcast(network)  # a few kilobytes whatever the data
-    names = [*keep, "lang_pred", "score"]
+    names, sent_columns = [*keep, *out], [*keep, *([] if text_col in keep else [text_col])]
 
     def run(rows):
         net = sent.value
         for batch in units.batches(rows, text_col, 1 << 20):
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(sent_columns.index(text_col))
             data, starts = words.text_bytes(texts)
             lettered = np.array([t is not None and _LETTER.search(t) is not None for t in texts.to_pylist()], dtype=bool)
             langs, scores = np.full(len(lettered), "und", dtype=object), np.zeros(len(lettered))
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text", ke
 
     kinds = dict(docs.dtypes)
     fields = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-    return docs.select(*keep, text_col).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.select(*sent_columns).mapInArrow(run, f"{fields}, `{out[0]}` string, `{out[1]}` double")
 
 
 def held_out(id_col: str = "doc_id"):

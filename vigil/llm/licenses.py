@@ -78,11 +78,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int
     """Licenses named in the whole texts of ``docs`` (doc_id, text): doc_id, license, containment, first_word, windows.
 
     One row for each document and template of which some window contains at least ``percent`` of the shingles, and no
-    smaller part than of any other template: the best containment, where the first such window begins, and how many
-    windows hold it. A window without any shingle of
-    any template contains nothing of one and is skipped before the bands. A null, blank or unlicensed text gives no row;
-    rows of one doc_id are one document; an empty table gives an empty result; other columns are not read. Templates are
-    a bounded list, so they are broadcast and their hashes are constants of the plan.
+    smaller part than of any other template of that width there or in the next windows: the best containment, where the
+    first such window begins, and how many windows hold it. A window without any shingle of any template contains nothing
+    of one and is skipped before the bands. A null, blank or unlicensed text gives no row; rows of one doc_id are one
+    document; an empty table gives an empty result; other columns are not read. Templates are a bounded list, so they are
+    broadcast and their hashes are constants of the plan.
     """
     spark = docs.sparkSession
     table = template_table(spark, TEMPLATES if templates is None else templates)
@@ -102,7 +102,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int
     common = F.expr("size(array_intersect(has, of))")
     matched = banded.join(F.broadcast(bands), ["width", "band"]).filter(100 * common >= percent * F.size("of"))
     held = matched.groupBy("doc_id", "width", "start", "license").agg(F.max(common / F.size("of")).alias("containment"))
-    here = Window.partitionBy("doc_id", "width", "start")
+    held = held.withColumn("slot", F.expr("2 * start div width"))
+    here = Window.partitionBy("doc_id", "width").orderBy("slot").rangeBetween(-1, 1)  # an occurrence can be cut by a window
     best = held.withColumn("best", F.max("containment").over(here)).filter("containment = best")
     return best.groupBy("doc_id", "license").agg(
         F.max("containment").alias("containment"), F.min("start").cast("bigint").alias("first_word"),
