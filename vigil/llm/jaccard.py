@@ -7,8 +7,9 @@ in; a block is held as the exclusive-or of its set bits' hashes. Documents that
 * A document of n shingles differs from a partner in at most k = n (1 - t) / t shingles. Of the blocks, ordered by the
   number of bits in them, most first, both partners' first k + 1 must have one in common; only these are joined.
 * Equal sets are one node. Equal blocks within a task are linked there, so a block's rows are at most one per task.
-* Each node is first checked against the smallest node it shares a block with. What is then still in different
-  components but shares a block is checked pair by pair, after a bound by size and by a dense parity sketch.
+* Each node is first checked against one node: that with which it shares most blocks, among the smallest node of each
+  of its blocks. A few rounds with other nodes of the blocks follow. What is then still in different components but
+  shares a block is checked pair by pair. A bound by size and by a dense parity sketch comes before every check.
 
 No partner is capped: every pair at or above the threshold shares a block and is checked or already connected.
 """
@@ -25,6 +26,7 @@ from vigil.llm.components import components, sized
 from vigil.session import written
 
 SKETCH_LONGS = 16  # the dense sketch: 1,024 bits
+ROUNDS = 3  # of checking one pair for each node, before all pairs that are left
 FLUSH = 2_000_000  # keys that a task holds before it links equal ones and passes them on
 _BLOCK_SALT, _BIT_SALT, _SET_SALT = (int(x) for x in words.numbers(3, 4))
 
@@ -136,10 +138,19 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min_by("dense", "doc_id").alias("dense")
     ), "jaccard")
 
-    parents = written(shared.groupBy("sid").agg(F.min("rep").alias("rep")).select(F.col("rep").alias("a"), F.col("sid").alias("b")), "jaccard")
-    linked = written(_verify(parents, texts, nodes, shingle, percent), "jaccard")
+    pairs = shared.select(F.least("rep", "sid").alias("a"), F.greatest("rep", "sid").alias("b"), "sid")
+    checked = written(_best(pairs, nodes, percent), "jaccard")
+    linked = written(_verify(checked, texts, nodes, shingle, percent), "jaccard")
     labels = components(linked)
-    rest = written(_rest(shared, labels, nodes, percent).join(parents, ["a", "b"], "left_anti"), "jaccard")
+    for turn in range(1, ROUNDS + 1):
+        pairs = _heads(_open(shared, labels), turn)
+        more = written(_best(pairs, nodes, percent).join(checked, ["a", "b"], "left_anti"), "jaccard")
+        new = written(_verify(more, texts, nodes, shingle, percent), "jaccard")
+        if new.isEmpty():
+            break
+        checked, linked = checked.unionByName(more), linked.unionByName(new)
+        labels = components(linked)
+    rest = written(_rest(_open(shared, labels), nodes, percent).join(checked, ["a", "b"], "left_anti"), "jaccard")
     if not rest.isEmpty():
         more = written(_verify(rest, texts, nodes, shingle, percent), "jaccard")
         labels = components(linked.unionByName(more))
@@ -176,8 +187,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int,
     return both.filter(100 * F.col("common") >= percent * (F.size("of_a") + F.size("of_b") - F.col("common"))).select("a", "b").distinct()
 
 
-def _rest(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a block but are not connected so far, and that size and dense sketch do not rule out."""
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, sid, label) of all nodes of those blocks whose nodes are still in different components."""
     small = sized(labels)
     of_sid = small.select(F.col("node").alias("sid"), F.col("label").alias("sid_label"))
     of_rep = small.select(F.col("node").alias("rep"), F.col("label").alias("rep_label"))
@@ -189,13 +200,40 @@ def _rest(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int)
     here = marked.join(sized(split), "key")
     members = here.select("key", "sid", F.col("sid_label").alias("label")).unionByName(
         here.select("key", F.col("rep").alias("sid"), F.col("rep_label").alias("label"))
-    ).distinct()
-    members = written(members.join(nodes.select("sid", "n", "dense"), "sid"), "jaccard")
-    a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in ("sid", "label", "n", "dense")))
-    b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in ("sid", "label", "n", "dense")))
+    )
+    return written(members.distinct(), "jaccard")
+
+
+def _heads(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b, sid) of each node with one node of each of its blocks, drawn anew in every turn."""
+    drawn = members.groupBy("key").agg(F.min_by(F.struct("sid", "label"), F.xxhash64("sid", F.lit(turn))).alias("head"))
+    drawn = written(drawn.select("key", F.col("head.sid").alias("head"), F.col("head.label").alias("head_label")), "jaccard")
+    apart = members.join(drawn, "key").filter("label <> head_label")
+    return apart.select(F.least("sid", "head").alias("a"), F.greatest("sid", "head").alias("b"), "sid")
+
+
+def _near(pairs: DataFrame, percent: int):
+    """What size and dense sketch say: False only for pairs (n_a, n_b, dense_a, dense_b) that cannot be linked."""
     bits = F.aggregate(F.zip_with("dense_a", "dense_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = f"label_a < label_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    joined = a.join(b, "key").filter(near).filter(
+    return pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").filter(
         bits * (100 + percent) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
     )
+
+
+def _best(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """For each node the pair with which it shares most blocks, among those that may be linked."""
+    counted = pairs.groupBy("a", "b", "sid").count()
+    of_a = nodes.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("dense").alias("dense_a"))
+    of_b = nodes.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("dense").alias("dense_b"))
+    near = _near(counted.join(of_a, "a").join(of_b, "b"), percent)
+    best = near.groupBy("sid").agg(F.max_by(F.struct("a", "b"), F.struct("count", "a", "b")).alias("pair"))
+    return best.select("pair.a", "pair.b").distinct()
+
+
+def _rest(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All pairs that share a block but are not connected, and that size and dense sketch do not rule out."""
+    members = written(members.join(nodes.select("sid", "n", "dense"), "sid"), "jaccard")
+    a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in ("sid", "label", "n", "dense")))
+    b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in ("sid", "label", "n", "dense")))
+    joined = _near(a.join(b, "key").filter("label_a < label_b"), percent)
     return joined.select(F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b")).distinct()
