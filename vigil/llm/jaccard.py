@@ -7,8 +7,7 @@ in; a block is held as the exclusive-or of its set bits' hashes. Documents that
 * A document of n shingles differs from a partner in at most k = n (1 - t) / t shingles. Of the blocks, ordered by the
   number of bits in them, most first, both partners' first k + 1 must have one in common; only these are joined.
 * Equal sets are one node. Equal blocks within a task are linked there, so a block's rows are at most one per task.
-* Each node is first checked against one node: that with which it shares most blocks, among the smallest node of each
-  of its blocks. A few rounds with other nodes of the blocks follow. What is then still in different components but
+* Each node is first checked against one node: that whose sketch differs least, among the smallest nodes of its blocks. A few rounds with other nodes of the blocks follow. What is then still in different components but
   shares a block is checked pair by pair. A bound by size and by a dense parity sketch comes before every check.
 
 No partner is capped: every pair at or above the threshold shares a block and is checked or already connected.
@@ -26,7 +25,7 @@ from vigil.llm.components import components, sized
 from vigil.session import written
 
 SKETCH_LONGS = 16  # the dense sketch: 1,024 bits
-ROUNDS = 3  # of checking one pair for each node, before all pairs that are left
+ROUNDS = 4  # of checking one pair for each node, before all pairs that are left
 FLUSH = 2_000_000  # keys that a task holds before it links equal ones and passes them on
 _BLOCK_SALT, _BIT_SALT, _SET_SALT = (int(x) for x in words.numbers(3, 4))
 
@@ -215,18 +214,17 @@ def _heads(members: DataFrame, turn: int) -> DataFrame:
 def _near(pairs: DataFrame, percent: int):
     """What size and dense sketch say: False only for pairs (n_a, n_b, dense_a, dense_b) that cannot be linked."""
     bits = F.aggregate(F.zip_with("dense_a", "dense_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").filter(
-        bits * (100 + percent) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
-    )
+    told = pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").withColumn("apart", bits / (F.col("n_a") + F.col("n_b")))
+    return told.filter((100 + percent) * F.col("apart") <= 100 - percent + 1e-6)
 
 
 def _best(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """For each node the pair with which it shares most blocks, among those that may be linked."""
-    counted = pairs.groupBy("a", "b", "sid").count()
+    """For each node the pair that may be linked and whose sketches differ least."""
+    counted = pairs.distinct()
     of_a = nodes.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("dense").alias("dense_a"))
     of_b = nodes.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("dense").alias("dense_b"))
     near = _near(counted.join(of_a, "a").join(of_b, "b"), percent)
-    best = near.groupBy("sid").agg(F.max_by(F.struct("a", "b"), F.struct("count", "a", "b")).alias("pair"))
+    best = near.groupBy("sid").agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("pair"))
     return best.select("pair.a", "pair.b").distinct()
 
 
