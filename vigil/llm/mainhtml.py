@@ -117,6 +117,10 @@ def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
             if tag not in INLINE:
                 parts.append(" ") if tag == "br" else flush()
             continue
+        if tag in RAW:
+            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(text, at)
+            at = stop.end() if stop else end
+            continue
         if not inline:
             flush()
             for k in range(len(stack) - 1, 0, -1):  # an open paragraph ends where a block begins
@@ -147,10 +151,6 @@ def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
                     dropped = True
         if not inline:
             parent.children += [label] if parent.children[-1:] != [label] else []
-        if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(text, at)
-            at = stop.end() if stop else end
-            continue
         if inline or tag in PLAIN:
             stack.append(Element(tag, 0, parent.nodes, dropped, parent.article))
         else:
