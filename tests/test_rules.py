@@ -9,7 +9,7 @@ from vigil.operators.metrics import patient_utility
 from vigil.operators.rolling import features
 from vigil.schema import VITALS, feature_names, record_schema
 
-BASE = dict(HR=80.0, O2Sat=98.0, Temp=37.0, SBP=120.0, MAP=85.0, DBP=70.0, Resp=16.0, EtCO2=35.0)
+BASE = dict(HR=72.0, O2Sat=96.5, Temp=36.6, SBP=131.0, MAP=91.0, DBP=64.0, Resp=14.0, EtCO2=38.0)
 
 
 def records(spark, rows):
@@ -33,19 +33,19 @@ def test_validator(spark):
 
 
 def test_features_of_three_rows(spark):
-    rows = [{**BASE, "HR": h, "ICULOS": i + 1} for i, h in enumerate((80.0, 90.0, 100.0))]
-    rows.append({**BASE, "patient_id": "B", "HR": 200.0, "ICULOS": 1})
+    rows = [{**BASE, "HR": h, "ICULOS": i + 1} for i, h in enumerate((66.0, 81.0, 96.0))]
+    rows.append({**BASE, "patient_id": "B", "HR": 187.0, "ICULOS": 1})
     rows.append({**BASE, "patient_id": "C", "HR": None, "ICULOS": 1})
-    rows.append({**BASE, "patient_id": "D", "SBP": 90.0, "Resp": 25.0, "ICULOS": 1})
-    rows.append({**BASE, "patient_id": "E", "Temp": 39.0, "HR": 110.0, "Resp": 24.0, "WBC": 15.0, "ICULOS": 1})
+    rows.append({**BASE, "patient_id": "D", "SBP": 88.0, "Resp": 27.0, "ICULOS": 1})
+    rows.append({**BASE, "patient_id": "E", "Temp": 38.9, "HR": 117.0, "Resp": 26.0, "WBC": 13.5, "ICULOS": 1})
     out = {(r["patient_id"], r["ICULOS"]): r for r in features(records(spark, rows)).collect()}
     last = out["A", 3]
     assert len(feature_names()) == 131 and set(feature_names()) <= set(last.asDict())
-    assert (last["mean_hr_6h"], last["max_hr_6h"], last["min_hr_6h"]) == (90.0, 100.0, 80.0)
-    assert last["slope_hr_6h"] == pytest.approx(10.0)
-    assert last["std_hr_6h"] == pytest.approx((200 / 3) ** 0.5)
+    assert (last["mean_hr_6h"], last["max_hr_6h"], last["min_hr_6h"]) == (81.0, 96.0, 66.0)
+    assert last["slope_hr_6h"] == pytest.approx(15.0)
+    assert last["std_hr_6h"] == pytest.approx(150 ** 0.5)
     assert out["A", 1]["slope_hr_6h"] == 0.0 and out["A", 1]["std_hr_6h"] == 0.0
-    assert out["B", 1]["mean_hr_24h"] == 200.0
+    assert out["B", 1]["mean_hr_24h"] == 187.0
     assert out["C", 1]["missing_hr"] == 1 and out["C", 1]["missing_temp"] == 0 and out["C", 1]["mean_hr_6h"] is None
     assert out["D", 1]["qsofa_score"] == 2
     assert out["E", 1]["sirs_count"] == 4
@@ -54,10 +54,10 @@ def test_features_of_three_rows(spark):
 @pytest.mark.parametrize(
     ("probas", "k", "warmup", "streak", "alarm", "muted"),
     [
-        ([0.1, 0.6, 0.6, 0.6], 3, 0, 3, True, False),
-        ([0.6, 0.6, 0.1, 0.6, 0.6], 3, 0, 2, False, False),
-        ([0.6, 0.6], 2, 6, 2, False, True),
-        ([0.1, 0.2], 1, 0, 0, False, False),
+        ([0.3, 0.7, 0.8, 0.9, 0.7], 4, 0, 4, True, False),
+        ([0.8, 0.7, 0.9, 0.2, 0.7], 3, 0, 1, False, False),
+        ([0.7, 0.9, 0.8], 3, 5, 3, False, True),
+        ([0.4, 0.3, 0.2], 1, 0, 0, False, False),
         ([0.6] * 60, 48, 0, 48, True, False),
         ([0.6] * 60, 49, 0, 48, False, False),
     ],
@@ -71,7 +71,7 @@ def test_online_decision(spark, probas, k, warmup, streak, alarm, muted):
 @pytest.mark.parametrize(
     ("predictions", "k", "warmup", "expected"),
     [
-        ([0, 1, 0, 1, 1, 1, 0], 3, 0, 3), ([0, 1, 0, 1, 0, 1], 3, 0, None), ([1, 1, 1, 0, 0, 1, 1, 1], 3, 3, 5),
+        ([1, 0, 0, 0, 1, 1, 1, 1], 4, 0, 4), ([1, 1, 0, 1, 1, 0], 3, 0, None), ([1, 1, 0, 0, 1, 1], 2, 2, 4),
         ([0, 0, 1], 1, 0, 2), ([0, 0, 0], 1, 0, None), ([1, 1], 3, 0, None), ([1, 1, 1, 1], 3, 1, 1),
     ],
 )

@@ -78,9 +78,9 @@ def sirs() -> Column:
 
 
 def whole_hours(hour: Column | str = HOUR) -> Column:
-    """Hours in intensive care as a whole number, toward zero and never negative; NULL stays NULL."""
+    """Hours in intensive care as a whole number, toward zero, never negative, at most the largest integer; NULL stays NULL."""
     number = finite(hour)
-    return F.when(number.isNotNull(), F.greatest(number.cast("int"), F.lit(0)))
+    return F.when(number.isNotNull(), F.greatest(F.least(number, F.lit(2147483647.0)), F.lit(0.0)).cast("int"))
 
 
 def risk_band(proba: Column | str, warn: float = 0.1, critical: float = 0.5) -> Column:

@@ -9,21 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 65_536
+from vigil.session import written
 
+CELLS_PER_PARTITION = 4  # cells for each shuffle partition of the session
 
-def cell(value: Column | str, lo, hi) -> Column:
-    """Which of ``CELLS`` equal steps between ``lo`` and ``hi`` a value is in; outliers go to the ends."""
-    value = F.col(value) if isinstance(value, str) else value
-    step = F.floor((value - lo) / (hi - lo) * CELLS)
-    return F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), step)).cast("long")
+
+def ranged(df: DataFrame, *order: str) -> DataFrame:
+    """Add ``_cell``: the stretch of the order a row is in. Its edges are sampled from the data, so cells hold about
+    equally many rows however the values lie. The rows are written, so that every later step sees the same cells."""
+    cells = CELLS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartitionByRange(cells, *order).withColumn("_cell", F.spark_partition_id().cast("long")), "cells")
 
 
 def running_totals(df, keys, cell_col, order, sums: dict[str, str], descending=False, totals=None) -> DataFrame:
     """Add ``sums[c]``: total of column ``c`` over all rows up to this one, per key, in order; and
     ``totals[c]``: its total over the whole key.
 
-    ``cell_col`` must follow the first order column; there are at most ``CELLS`` of them per key.
+    ``cell_col`` must follow the first order column.
     """
     totals = totals or {}
     per_cell = df.groupBy(*keys, cell_col).agg(*[F.sum(c).alias(f"_sum_{c}") for c in {**sums, **totals}])
@@ -42,14 +44,14 @@ def running_totals(df, keys, cell_col, order, sums: dict[str, str], descending=F
     return out.drop(*[f"_from_{c}" for c in sums])
 
 
-def score_steps(df: DataFrame, score="proba", label="SepsisLabel", lo=0.0, hi=1.0) -> DataFrame:
+def score_steps(df: DataFrame, score="proba", label="SepsisLabel") -> DataFrame:
     """One row per distinct score, highest first in meaning: its positives and negatives and how many
     reach it (``tp``, ``fp``), with the table totals (``p``, ``n``)."""
     points = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
     )
-    points = points.withColumn("_cell", cell("threshold", lo, hi))
+    points = ranged(points, "threshold")
     steps = running_totals(
         points, [], "_cell", ["threshold"], {"pos": "tp", "neg": "fp"}, descending=True, totals={"pos": "p", "neg": "n"}
     )
@@ -57,8 +59,8 @@ def score_steps(df: DataFrame, score="proba", label="SepsisLabel", lo=0.0, hi=1.
 
 
 def roc_curve(steps: DataFrame) -> DataFrame:
-    """Every point of the curve, from the origin (threshold infinity) to (1, 1)."""
-    points = steps.select("threshold", (F.col("fp") / F.col("n")).alias("fpr"), (F.col("tp") / F.col("p")).alias("tpr"))
+    """Every point of the curve, from the origin (threshold infinity) to (1, 1); NULL rates of a class without rows."""
+    points = steps.select("threshold", F.try_divide("fp", "n").alias("fpr"), F.try_divide("tp", "p").alias("tpr"))
     origin = steps.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
@@ -69,7 +71,7 @@ def pr_curve(steps: DataFrame) -> DataFrame:
     """Precision and recall at each score, closed by the point (1, 0) that has no threshold."""
     points = steps.select(
         "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        (F.col("tp") / F.col("p")).alias("recall"),
+        F.try_divide("tp", "p").alias("recall"),
     )
     end = steps.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
@@ -79,16 +81,16 @@ def pr_curve(steps: DataFrame) -> DataFrame:
 
 def auroc_of_steps() -> Column:
     ranked_right = F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2)
-    return F.sum(ranked_right) / (F.max("p").cast("double") * F.max("n"))
+    return F.try_divide(F.sum(ranked_right), F.max("p").cast("double") * F.max("n"))
 
 
 def auroc(steps: DataFrame) -> DataFrame:
-    """Share of positive-negative pairs ranked right, ties counting half."""
+    """Share of positive-negative pairs ranked right, ties counting half; NULL when a class has no rows."""
     return steps.agg(auroc_of_steps().alias("auroc"))
 
 
 def average_precision_of_steps() -> Column:
-    return F.sum(F.col("pos") / F.col("p") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
+    return F.sum(F.try_divide("pos", "p") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
 
 
 def average_precision(steps: DataFrame) -> DataFrame:
@@ -104,13 +106,13 @@ def sensitivity_at_specificity(steps: DataFrame, specificity: float = 0.95) -> D
     )
 
 
-def exact_quantiles(df: DataFrame, keys, value, quantiles, lo, hi) -> DataFrame:
-    """Linear-interpolated quantiles per key, one row per (key, q). ``lo``/``hi`` only spread the work."""
+def exact_quantiles(df: DataFrame, keys, value, quantiles) -> DataFrame:
+    """Linear-interpolated quantiles per key, one row per (key, q)."""
     keys = list(keys)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    counts = counts.withColumn("_cell", cell("_v", lo, hi))
+    counts = ranged(counts, *keys, "_v")
     ranked = running_totals(counts, keys, "_cell", ["_v"], {"_n": "_upto"}, totals={"_n": "_total"})
     # A value holds ranks [_upto - _n, _upto); a quantile needs those at floor and ceil of (total - 1) q.
     first = F.col("_upto") - F.col("_n")

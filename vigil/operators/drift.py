@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.operators.curves import cell, exact_quantiles, running_totals
-from vigil.schema import VALID_RANGE, VITALS
+from vigil.operators.curves import exact_quantiles, ranged, running_totals
+from vigil.schema import VITALS
 
-SMALL_REFERENCE = 1000
 MAX_DISTANCE, MIN_P = 0.1, 0.05
 
 
@@ -19,14 +18,6 @@ def shared_columns(reference: DataFrame, current: DataFrame, wanted=VITALS) -> l
     return kept
 
 
-def _limit(which: int) -> Column:
-    """Usual lowest or highest value of the column named in ``feature``; only balances the work."""
-    out = F.lit(0.0 if which == 0 else 1000.0)
-    for name, limits in VALID_RANGE.items():
-        out = F.when(F.col("feature") == name, F.lit(float(limits[which]))).otherwise(out)
-    return out
-
-
 def long_values(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
     """(feature, value, is_ref) of all recorded values."""
     def long(df, is_ref):
@@ -38,7 +29,7 @@ def long_values(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
 
 def ks_p_value(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample p-value."""
-    x = d * d * n * m / (n + m)
+    x = F.try_divide(d * d * n * m, n + m)
     terms = F.transform(
         F.sequence(F.lit(1), F.lit(100)), lambda j: F.when(j % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * j * j * x)
     )
@@ -48,16 +39,17 @@ def ks_p_value(d: Column, n: Column, m: Column) -> Column:
 
 def column_distances(reference: DataFrame, current: DataFrame, columns=VITALS) -> DataFrame:
     """Per column: Kolmogorov-Smirnov distance with its p-value, and Wasserstein distance in units of
-    the reference's standard deviation. Equal values meet before anything is ordered."""
+    the reference's standard deviation. Equal values meet before anything is ordered. A column without recorded
+    values on one side keeps its row, with NULL distances."""
     columns = shared_columns(reference, current, columns)
     counts = long_values(reference, current, columns).groupBy("feature", "value").agg(
         F.sum("is_ref").alias("r"), F.sum(1 - F.col("is_ref")).alias("c")
     )
-    counts = counts.withColumn("_cell", cell("value", _limit(0), _limit(1)))
+    counts = ranged(counts, "feature", "value")
     ranked = running_totals(
         counts, ["feature"], "_cell", ["value"], {"r": "cum_r", "c": "cum_c"}, totals={"r": "n_ref", "c": "n_cur"}
     )
-    gap = F.abs(F.col("cum_r") / F.col("n_ref") - F.col("cum_c") / F.col("n_cur"))
+    gap = F.abs(F.try_divide("cum_r", "n_ref") - F.try_divide("cum_c", "n_cur"))
     inside = Window.partitionBy("feature", "_cell").orderBy("value")
     steps = ranked.withColumn("gap", gap)
     steps = steps.withColumn("width", F.lead("value").over(inside) - F.col("value"))
@@ -73,10 +65,11 @@ def column_distances(reference: DataFrame, current: DataFrame, columns=VITALS) -
         F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"),
     )
     spread = reference.agg(*[F.stddev_pop(c).alias(c) for c in columns]).unpivot([], columns, "feature", "spread")
-    out = per_column.join(spread, "feature")
+    out = spread.join(per_column, "feature", "left").fillna(0, ["n_ref", "n_cur"])
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     return out.select(
-        "feature", "n_ref", "n_cur", "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
-        (F.col("area") / F.greatest("spread", F.lit(0.001))).alias("wasserstein"),
+        "feature", "n_ref", "n_cur", "ks", F.when(both, ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur"))).alias("p_value"),
+        F.when(both, F.col("area") / F.greatest("spread", F.lit(0.001))).alias("wasserstein"),
     )
 
 
@@ -85,17 +78,18 @@ def ks_drift(reference, current, columns=VITALS, alpha: float = MIN_P) -> DataFr
     return out.withColumn("drifted", F.col("p_value") < alpha)
 
 
-def drift_columns(reference, current, columns=VITALS) -> DataFrame:
-    """Small references are tested by p-value, larger ones by distance."""
-    out = column_distances(reference, current, columns)
-    small = F.col("n_ref") <= SMALL_REFERENCE
-    drifted = F.when(small, F.col("p_value") < MIN_P).otherwise(F.col("wasserstein") >= MAX_DISTANCE)
-    return out.withColumn("drifted", drifted)
+def drift_columns(reference, current, columns=VITALS, method: str = "wasserstein") -> DataFrame:
+    """One test at every size: ``wasserstein`` flags a normed distance of 0.1 and more, ``ks`` a p-value below 0.05.
+
+    ``drifted`` is NULL for a column that cannot be compared.
+    """
+    tests = {"wasserstein": F.col("wasserstein") >= MAX_DISTANCE, "ks": F.col("p_value") < MIN_P}
+    return column_distances(reference, current, columns).withColumn("drifted", tests[method])
 
 
 def drift_summary(reference, current, columns=VITALS, drift_share=0.5, notify_share=0.3) -> DataFrame:
     flagged = drift_columns(reference, current, columns).agg(
-        F.sum(F.col("drifted").cast("long")).alias("n_drifted"), F.count(F.lit(1)).alias("n_columns")
+        F.coalesce(F.sum(F.col("drifted").cast("long")), F.lit(0)).alias("n_drifted"), F.count(F.lit(1)).alias("n_columns")
     )
     share = F.col("n_drifted") / F.col("n_columns")
     return flagged.withColumn("share", share).withColumn("dataset_drift", share >= drift_share).withColumn(
@@ -104,22 +98,24 @@ def drift_summary(reference, current, columns=VITALS, drift_share=0.5, notify_sh
 
 
 def psi(reference, current, columns=VITALS, bins: int = 10, floor: float = 1e-4) -> DataFrame:
-    """Population stability index per column over the reference's quantile bins, with its band."""
+    """Population stability index per column over the reference's quantile bins, with its band; NULL for a column
+    without recorded values on one side."""
     columns = shared_columns(reference, current, columns)
     values = long_values(reference, current, columns)
     cuts = exact_quantiles(
-        values.filter("is_ref = 1"), ["feature"], "value", [i / bins for i in range(1, bins)], _limit(0), _limit(1)
+        values.filter("is_ref = 1"), ["feature"], "value", [i / bins for i in range(1, bins)]
     )
     edges = cuts.groupBy("feature").agg(F.sort_array(F.collect_list("quantile")).alias("edges"))
     binned = values.join(F.broadcast(edges), "feature").groupBy(
         "feature", F.expr("size(filter(edges, e -> value > e))").alias("bin")
     ).agg(F.sum("is_ref").alias("r"), F.sum(1 - F.col("is_ref")).alias("c"))
     whole = Window.partitionBy("feature")  # at most ``bins`` rows
-    p = F.greatest(F.col("c") / F.sum("c").over(whole), F.lit(floor))
-    q = F.greatest(F.col("r") / F.sum("r").over(whole), F.lit(floor))
-    parts = binned.withColumn("part", (p - q) * F.log(p / q))
-    out = parts.groupBy("feature").agg(F.sum("part").alias("psi"))
-    band = F.when(F.col("psi") < 0.10, "stable").when(F.col("psi") < 0.25, "moderate").otherwise("severe")
+    n_cur, n_ref = F.sum("c").over(whole), F.sum("r").over(whole)
+    p, q = F.greatest(F.try_divide("c", n_cur), F.lit(floor)), F.greatest(F.try_divide("r", n_ref), F.lit(floor))
+    parts = binned.withColumn("part", F.when((n_cur > 0) & (n_ref > 0), (p - q) * F.log(p / q)))
+    named = reference.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    out = named.join(parts.groupBy("feature").agg(F.sum("part").alias("psi")), "feature", "left")
+    band = F.when(F.col("psi").isNull(), None).when(F.col("psi") < 0.10, "stable").when(F.col("psi") < 0.25, "moderate").otherwise("severe")
     return out.withColumn("band", band)
 
 

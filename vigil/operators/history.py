@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from vigil.functions.rules import finite, whole_hours
 from vigil.operators.slices import last_rows
-from vigil.schema import HOUR, KEY, ORDER, PREDICTIONS_KEPT, PROBAS_KEPT, VITALS_KEPT
+from vigil.schema import HOUR, KEY, ORDER, PREDICTIONS_KEPT, PROBAS_KEPT, VITALS, VITALS_KEPT
 
-STORED_VITALS = ("HR", "O2Sat", "Temp", "SBP", "MAP", "DBP", "Resp")
+STORED_VITALS = tuple(v for v in VITALS if v != "EtCO2")
 
 
 def latest(df: DataFrame, order=ORDER) -> DataFrame:

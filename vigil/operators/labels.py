@@ -15,7 +15,7 @@ ONSET_OFFSET = 6
 def relabel_late(df: DataFrame, late_cutoff: int = 3, split: str | None = None, rows_per_slice=None) -> DataFrame:
     """Positive hours later than onset + ``late_cutoff`` become 0; onset is 6 h after the first positive."""
     if split == "test":
-        raise ValueError("The test split keeps its labels: relabelling it would invalidate the evaluation.")
+        raise ValueError("test labels are frozen: only the train part may be relabelled")
     first = df.filter(F.col(LABEL) == 1).groupBy(KEY).agg(F.min(HOUR).alias("_first"))
     late = (F.col(LABEL) == 1) & (F.col(HOUR) > F.col("_first") + ONSET_OFFSET + late_cutoff)
     return (

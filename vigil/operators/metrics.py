@@ -95,8 +95,8 @@ def evaluation_summary(df: DataFrame, threshold, min_consecutive, warmup_hours,
     row = _utility_sums(outcomes.withColumn("alert_ahead_h", _ahead()), _lead_aggregates())
 
     steps = curves.score_steps(df)
-    tpr, hit = F.col("tp") / F.col("p"), F.col("threshold") >= threshold
-    enough = 1 - F.col("fp") / F.col("n") >= specificity
+    tpr, hit = F.try_divide("tp", "p"), F.col("threshold") >= threshold
+    enough = 1 - F.try_divide("fp", "n") >= specificity
     curve = steps.agg(
         curves.auroc_of_steps().alias("auroc"), curves.average_precision_of_steps().alias("auprc"),
         F.max(F.when(enough, F.struct(tpr.alias("tpr"), "threshold"))).alias("best"),

@@ -33,10 +33,13 @@ def age_band():
 
 
 def impute_group_mean(df: DataFrame, columns=VITALS) -> DataFrame:
-    """Missing values take the mean of their age band and gender (a handful of groups)."""
+    """Missing values take the mean of their age band and gender (a handful of groups; no gender is one too)."""
     banded = df.withColumn("_band", age_band())
-    means = banded.groupBy("_band", "Gender").agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
-    out = banded.join(F.broadcast(means), ["_band", "Gender"], "left")
+    means = banded.groupBy(F.col("_band").alias("_of_band"), F.col("Gender").alias("_of_gender")).agg(
+        *[F.avg(c).alias(f"_mean_{c}") for c in columns]
+    )
+    group = (F.col("_band") == F.col("_of_band")) & F.col("Gender").eqNullSafe(F.col("_of_gender"))
+    out = banded.join(F.broadcast(means), group, "left")
     filled = {c: F.coalesce(c, f"_mean_{c}") for c in columns}
     return out.withColumns(filled).select(*df.columns)
 
@@ -81,7 +84,7 @@ def history_gate(df: DataFrame, hours: int = 6, rows_per_slice=None) -> DataFram
     return unsliced(base.withColumn("_enough", enough).filter("_enough = 1")).drop("_enough")
 
 
-def rolling_by_hour(df, stats=("mean", "std", "min", "max"), vitals=VITALS, windows=(6, 12, 24)) -> DataFrame:
+def rolling_by_hour(df, stats=("mean", "std", "min", "max", "slope"), vitals=VITALS, windows=(6, 12, 24)) -> DataFrame:
     """Statistics over the newest ``W`` hours by the clock, t - W excluded; ``std`` is the sample one."""
     base = hour_slices(df, max(windows) - 1)
     makers = {
@@ -101,4 +104,5 @@ def labs_long(df: DataFrame, labs=LABS) -> DataFrame:
 
 
 def labs_wide(long: DataFrame, labs=LABS) -> DataFrame:
-    return long.groupBy(KEY, HOUR).pivot("name", list(labs)).agg(F.first("value"))
+    """One column per lab; of several values of one lab and hour the largest."""
+    return long.groupBy(KEY, HOUR).pivot("name", list(labs)).agg(F.max("value"))

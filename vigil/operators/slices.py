@@ -61,8 +61,7 @@ def sliced(
     """Add ``_slice``, ``_copy`` (row is a halo copy) and ``_pos`` (known only on large keys).
 
     ``axis`` is a whole number that grows with the first order column; it places rows of a large key
-    into coarse ranges, whose sizes give each row's exact position without a global sort. There are
-    at most about ``total / rows_per_slice + MAX_HOT_KEYS`` ranges, few enough to broadcast.
+    into coarse ranges, whose sizes give each row's exact position without a global sort.
     """
     keys, rows = _names(key), max(rows_per_slice or ROWS_PER_SLICE, 2 * halo, 1)
     small = {SLICE: F.lit(0).cast("long"), COPY: F.lit(False), POS: F.lit(None).cast("long")}
@@ -89,7 +88,7 @@ def sliced(
     offset = F.when(tied, second - F.col("_a2")).otherwise(F.col("_axis") - F.col("_a"))
     extent = F.when(tied, F.col("_z2") - F.col("_a2")).otherwise(F.col("_z") - F.col("_a")) + 1
     finer = F.coalesce(F.floor(offset / (extent / F.ceil(F.col("_size") / F.lit(rows)))), F.lit(-1))
-    ranged = ranged.join(F.broadcast(per_range), [*keys, "_range"]).withColumn("_finer", finer).drop(*stats)
+    ranged = ranged.join(per_range, [*keys, "_range"]).withColumn("_finer", finer).drop(*stats)
     place = [*keys, "_range", "_finer"]
     sizes = ranged.groupBy(*place).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_range", "_finer").rowsBetween(Window.unboundedPreceding, -1)
@@ -164,7 +163,7 @@ def running_max(
         before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         per_slice = base.filter(F.col(POS).isNotNull()).groupBy(*keys, SLICE).agg(*[F.max(f"_now_{n}").alias(f"_m_{n}") for n in columns])
         carried = per_slice.select(*keys, SLICE, *[F.max(f"_m_{n}").over(before).alias(f"_from_{n}") for n in columns])
-        out = out.join(F.broadcast(carried), [*keys, SLICE], "left")
+        out = out.join(carried, [*keys, SLICE], "left")
         out = out.withColumns({n: F.greatest(n, f"_from_{n}") for n in columns})
     return unsliced(out).select(*df.columns, *columns)
 

@@ -34,8 +34,10 @@ def _proba(step: int) -> str:
 
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly patient records: one per event, integer arithmetic only."""
-    base = events(spark, sf_dir).selectExpr("event_id", "user_id", "ts", "CAST(round(value * 100) AS BIGINT) AS c")
-    placed = with_position(base, "pos", "user_id", ("ts", "event_id"), axis=micros("ts"))
+    # The patient is named before the rows are numbered, so that later steps find them dealt out by patient.
+    patient = "concat('p', lpad(CAST(user_id AS STRING), 6, '0')) AS patient_id"
+    base = events(spark, sf_dir).selectExpr("event_id", "user_id", patient, "ts", "CAST(round(value * 100) AS BIGINT) AS c")
+    placed = with_position(base, "pos", "patient_id", ("ts", "event_id"), axis=micros("ts"))
     signs = [
         f"if({missing} OR event_id % 89 = 0, NULL, CAST({value} AS DOUBLE)) AS {v}"
         for v, (value, missing) in _VITAL_SQL.items()
@@ -46,7 +48,7 @@ def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
         for lab in LABS
     ]
     return placed.selectExpr(
-        "concat('p', lpad(CAST(user_id AS STRING), 6, '0')) AS patient_id", "CAST(pos + 1 AS INT) AS ICULOS",
+        "patient_id", "CAST(pos + 1 AS INT) AS ICULOS",
         "ts AS event_ts", "event_id", *signs, *labs,
         "CAST(20 + user_id * 7 % 70 AS DOUBLE) AS Age", "CAST(user_id % 2 AS DOUBLE) AS Gender",
         "CAST(user_id % 4 = 0 AS DOUBLE) AS Unit1", "CAST(user_id % 4 <> 0 AS DOUBLE) AS Unit2",

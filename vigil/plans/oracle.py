@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.schema import LABS, STATS, VALID_RANGE, VITALS, WINDOWS, feature_name, feature_names
+from vigil.schema import DEMOGRAPHICS, LABS, STATS, VALID_RANGE, VITALS, WINDOWS, feature_name, feature_names
 
 SQL: dict[str, str] = {}
 THR, RUN, WARM = "0.4::DOUBLE", 3, 6
@@ -206,7 +206,7 @@ for _s in STATS:
     SQL[f"rolling_{_s}"] = w(V, RANKED) + f"SELECT patient_id, ICULOS, event_id, {_rolled([_s])} FROM k"
 SQL["feature_map_roundtrip"] = w(V, RANKED, f"f AS ({_feature_select()})") + f"""SELECT event_id,
   CAST({' + '.join(f'CAST({c} IS NOT NULL AS INTEGER)' for c in [*feature_names(), 'Age', 'Gender', 'HospAdmTime'])} AS INTEGER)
-  AS n_present, mean_hr_6h, slope_temp_12h, CAST(missing_hr AS DOUBLE) AS missing_hr, Age FROM f"""
+  AS n_present, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in [*feature_names(), 'Age', 'Gender', 'HospAdmTime'])} FROM f"""
 
 
 def _hours(rows: int) -> str:
@@ -217,11 +217,13 @@ SQL["rolling_by_hour"] = w(V) + "SELECT patient_id, ICULOS, event_id, " + ", ".j
     r(f"{f}({v}) {_hours(n)}", f"{v.lower()}_{s}_{n}h")
     for n in WINDOWS for v in VITALS
     for s, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
+) + ", " + ", ".join(
+    r(f"regr_slope({v}, CAST(ICULOS AS DOUBLE)) {_hours(n)}", f"{v.lower()}_slope_{n}h") for n in WINDOWS for v in VITALS
 ) + " FROM v"
 
 # ---- sources and sinks ---------------------------------------------------------------------------
 
-SQL["psv_scan"] = w(V) + f"""SELECT patient_id, ICULOS, {', '.join(VITALS)}, WBC, Age, Gender, HospAdmTime, SepsisLabel FROM v"""
+SQL["psv_scan"] = w(V) + f"""SELECT patient_id, ICULOS, {', '.join([*VITALS, *LABS, *DEMOGRAPHICS])}, SepsisLabel FROM v"""
 SQL["union_sources"] = w(V) + """SELECT patient_id, ICULOS, HR, CASE WHEN Unit1 = 1 THEN WBC END AS WBC FROM v"""
 SQL["split_roundtrip"] = w(V, SPLIT) + """SELECT split, count(*) AS n_rows, CAST(sum(SepsisLabel) AS BIGINT) AS n_positive
 FROM v JOIN split USING (patient_id) GROUP BY split"""
@@ -258,6 +260,9 @@ SQL["history_gate"] = w(V) + "SELECT patient_id, ICULOS FROM v WHERE ICULOS >= 6
 RELABEL = """f AS (SELECT patient_id, min(ICULOS) FILTER (SepsisLabel = 1) AS first FROM v GROUP BY patient_id),
 rl AS (SELECT v.patient_id, ICULOS, SepsisLabel AS old, coalesce(SepsisLabel = 1 AND ICULOS > first + 9, false) AS relabelled
   FROM v JOIN f ON v.patient_id = f.patient_id)"""
+SQL["training_labels"] = w(V, SPLIT, RELABEL) + """SELECT split, count(*) AS n_rows,
+  CAST(sum(CASE WHEN split = 'train' AND relabelled THEN 0 ELSE old END) AS BIGINT) AS n_positive
+FROM rl JOIN split USING (patient_id) GROUP BY split"""
 SQL["relabel_late"] = w(V, RELABEL) + """SELECT patient_id, ICULOS, CASE WHEN relabelled THEN 0 ELSE old END AS SepsisLabel, relabelled FROM rl"""
 SQL["relabel_stats"] = w(V, RELABEL) + "SELECT count(DISTINCT patient_id) AS patients_modified, count(*) AS rows_flipped FROM rl WHERE relabelled"
 SQL["patient_split"] = w(V, SPLIT) + "SELECT patient_id, split FROM split"
@@ -427,7 +432,7 @@ dx AS (SELECT dg.*, ks * ks * n_ref * n_cur / (n_ref + n_cur) AS x, sp.spread FR
 dp AS (SELECT feature, n_ref, n_cur, ks, CASE WHEN x < 0.04 THEN 1.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, list_sum(list_transform(
   range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END * exp(-2.0::DOUBLE * j * j * x))))) END AS p_value,
   area / greatest(spread, 0.001::DOUBLE) AS wasserstein FROM dx),
-df AS (SELECT *, CASE WHEN n_ref <= 1000 THEN p_value < 0.05::DOUBLE ELSE wasserstein >= 0.1::DOUBLE END AS drifted FROM dp)"""
+df AS (SELECT *, wasserstein >= 0.1::DOUBLE AS drifted FROM dp)"""
 _KS = f"feature, n_ref, n_cur, {r('ks', 'ks')}, {r('p_value', 'p_value')}"
 SQL["ks_drift"] = w(V, DRIFT) + f"SELECT {_KS}, p_value < 0.05::DOUBLE AS drifted FROM df"
 SQL["drift_columns"] = w(V, DRIFT) + f"SELECT {_KS}, {r('wasserstein', 'wasserstein')}, drifted FROM df"
@@ -496,8 +501,8 @@ FROM v a LEFT JOIN v b ON a.patient_id = b.patient_id AND b.ICULOS = a.ICULOS -
 SQL["labs_long"] = w(V) + " UNION ALL ".join(
     f"SELECT patient_id, ICULOS, '{c}' AS name, {c} AS value FROM v WHERE {c} IS NOT NULL" for c in _LAB_STEP
 )
-SQL["labs_wide"] = w(V) + """SELECT patient_id, ICULOS, WBC, Lactate, FiO2 FROM v
-WHERE coalesce(WBC, Lactate, FiO2) IS NOT NULL"""
+SQL["labs_wide"] = w(V) + """SELECT patient_id, ICULOS, """ + f"""{', '.join(LABS)} FROM v
+WHERE coalesce({', '.join(LABS)}) IS NOT NULL"""
 
 # ---- views ---------------------------------------------------------------------------------------
 

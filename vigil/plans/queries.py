@@ -13,8 +13,8 @@ from vigil.operators import alarms, curves, drift, history, joins, labels, metri
 from vigil.operators import tuning, views
 from vigil.operators.rolling import features, latest_features, rolling
 from vigil.plans import inputs
-from vigil.schema import HOUR, KEY, LABEL, LABS, STATS, TIE, VITALS
-from vigil.session import shared_dir
+from vigil.schema import DEMOGRAPHICS, HOUR, KEY, LABEL, LABS, STATS, TIE, VITALS
+from vigil.session import shared_dir, written
 from vigil.sources import files
 from vigil.streaming import jobs
 
@@ -157,9 +157,8 @@ def resolve_params(spark, sf_dir):
 @query
 def feature_map_roundtrip(spark, sf_dir):
     rows = features(inputs.vitals(spark, sf_dir))
-    names = ["mean_hr_6h", "slope_temp_12h", "missing_hr", "Age"]
     mapped = rows.select(TIE, rules.feature_map().alias("m")).withColumn("n_present", F.size("m"))
-    return rounded(rules.from_feature_map(mapped, "m", names))
+    return rounded(rules.from_feature_map(mapped, "m", models.default_inputs()))
 
 
 # ---- sources and sinks ---------------------------------------------------------------------------
@@ -170,7 +169,7 @@ def psv_scan(spark, sf_dir):
     path = shared_dir(spark, "psv")
     files.write_psv(inputs.vitals(spark, sf_dir), path)
     rows = files.read_psv(spark, path, pattern="*.csv", id_from="folder")
-    return rounded(rows.select(KEY, HOUR, *VITALS, "WBC", "Age", "Gender", "HospAdmTime", LABEL))
+    return rounded(rows.select(KEY, HOUR, *VITALS, *LABS, *DEMOGRAPHICS, LABEL))
 
 
 @query
@@ -605,7 +604,7 @@ def labs_long(spark, sf_dir):
 
 @query
 def labs_wide(spark, sf_dir):
-    wide = prep.labs_wide(prep.labs_long(inputs.vitals(spark, sf_dir)), ["WBC", "Lactate", "FiO2"])
+    wide = prep.labs_wide(prep.labs_long(inputs.vitals(spark, sf_dir)))
     return rounded(wide)
 
 
@@ -751,11 +750,23 @@ ROUNDS = 5
 
 
 def _training(spark, sf_dir):
-    """Features with their split, written once: training reads them many times."""
+    """Features with their split, written once: training reads them many times. Only the train part is relabelled."""
     rows = inputs.vitals(spark, sf_dir)
     path = shared_dir(spark, "training")
-    files.write_splits(labels.relabel_late(features(rows)).drop("relabelled"), labels.patient_split(rows), path)
-    return {s: files.read_split(spark, path, s) for s in files.SPLITS}
+    files.write_splits(features(rows), labels.patient_split(rows), path)
+    parts = {s: files.read_split(spark, path, s) for s in files.SPLITS}
+    parts["train"] = written(labels.relabel_late(parts["train"], split="train").drop("relabelled"), "training")
+    return parts
+
+
+@query
+def training_labels(spark, sf_dir):
+    """Rows and positive labels of each split as training sees them; val and test keep their labels."""
+    parts = [
+        part.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).cast("long").alias("n_positive")).select(F.lit(s).alias("split"), "*")
+        for s, part in _training(spark, sf_dir).items()
+    ]
+    return joins.union_all(*parts)
 
 
 def _trained(spark, sf_dir, depth=4, rate=0.05, seed=42):

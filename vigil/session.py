@@ -34,10 +34,12 @@ def build_session(app: str = "vigil", cores: str | int = "*", partitions: int |
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach: under ``spark.checkpoint.dir`` when the cluster names it.
 
-    Only a session without that setting (a test or a laptop) falls back to a local folder.
+    Only a local session (a test or a laptop) may do without that setting and falls back to a local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="vigil-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

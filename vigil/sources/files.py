@@ -25,7 +25,9 @@ def read_psv(
     reader = spark.read.schema(schema or psv_schema()).options(**options)
     try:
         df = reader.csv(f"{path}/{pattern}")
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         df = reader.option("recursiveFileLookup", True).csv(path)
     place = r"([^/]+?)\.[^./]+$" if id_from == "stem" else r"patient_id=([^/]+)/"
     df = df.select(
@@ -34,7 +36,7 @@ def read_psv(
     if max_patients:
         first = df.select("_path").distinct().orderBy("_path").limit(max_patients)
         df = df.join(first, "_path", "left_semi")
-    ints = {c: F.col(c).cast("int") for c in (HOUR, LABEL) if c in df.columns}
+    ints = {c: F.col(c).try_cast("int") for c in (HOUR, LABEL) if c in df.columns}
     return nan_to_null(df.drop("_path")).withColumns(ints)
 
 
