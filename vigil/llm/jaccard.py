@@ -7,8 +7,9 @@ in; a block is held as the exclusive-or of its set bits' hashes. Documents that
 * A document of n shingles differs from a partner in at most k = n (1 - t) / t shingles. Of the blocks, ordered by the
   number of bits in them, most first, both partners' first k + 1 must have one in common; only these are joined.
 * Equal sets are one node. Equal blocks within a task are linked there, so a block's rows are at most one per task.
-* Each node is first checked against one node: that whose sketch differs least, among the smallest nodes of its blocks. A few rounds with other nodes of the blocks follow. What is then still in different components but
-  shares a block is checked pair by pair. A bound by size and by a dense parity sketch comes before every check.
+* Each node is first checked against a few nodes: those whose sketches differ least among four nodes of each of its
+  blocks. What is then still in different components but shares a block is checked pair by pair. A bound by size and by
+  a dense parity sketch comes before every check.
 
 No partner is capped: every pair at or above the threshold shares a block and is checked or already connected.
 """
@@ -25,7 +26,7 @@ from vigil.llm.components import components, sized
 from vigil.session import written
 
 SKETCH_LONGS = 16  # the dense sketch: 1,024 bits
-ROUNDS = 4  # of checking one pair for each node, before all pairs that are left
+HEADS = 4  # nodes of a block that its other nodes meet first, and pairs that each node is checked in first
 FLUSH = 2_000_000  # keys that a task holds before it links equal ones and passes them on
 _BLOCK_SALT, _BIT_SALT, _SET_SALT = (int(x) for x in words.numbers(3, 4))
 
@@ -137,19 +138,11 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min_by("dense", "doc_id").alias("dense")
     ), "jaccard")
 
-    pairs = shared.select(F.least("rep", "sid").alias("a"), F.greatest("rep", "sid").alias("b"), "sid")
-    checked = written(_best(pairs, nodes, percent), "jaccard")
+    members = written(shared.select("key", "sid").unionByName(shared.select("key", F.col("rep").alias("sid"))).distinct(), "jaccard")
+    checked = written(_best(_heads(members), nodes, percent), "jaccard")
     linked = written(_verify(checked, texts, nodes, shingle, percent), "jaccard")
     labels = components(linked)
-    for turn in range(1, ROUNDS + 1):
-        pairs = _heads(_open(shared, labels), turn)
-        more = written(_best(pairs, nodes, percent).join(checked, ["a", "b"], "left_anti"), "jaccard")
-        new = written(_verify(more, texts, nodes, shingle, percent), "jaccard")
-        if new.isEmpty():
-            break
-        checked, linked = checked.unionByName(more), linked.unionByName(new)
-        labels = components(linked)
-    rest = written(_rest(_open(shared, labels), nodes, percent).join(checked, ["a", "b"], "left_anti"), "jaccard")
+    rest = written(_rest(_open(members, labels), nodes, percent).join(checked, ["a", "b"], "left_anti"), "jaccard")
     if not rest.isEmpty():
         more = written(_verify(rest, texts, nodes, shingle, percent), "jaccard")
         labels = components(linked.unionByName(more))
@@ -186,29 +179,21 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int,
     return both.filter(100 * F.col("common") >= percent * (F.size("of_a") + F.size("of_b") - F.col("common"))).select("a", "b").distinct()
 
 
-def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, sid, label) of all nodes of those blocks whose nodes are still in different components."""
-    small = sized(labels)
-    of_sid = small.select(F.col("node").alias("sid"), F.col("label").alias("sid_label"))
-    of_rep = small.select(F.col("node").alias("rep"), F.col("label").alias("rep_label"))
-    marked = (
-        shared.join(of_sid, "sid", "left").join(of_rep, "rep", "left")
-        .withColumn("sid_label", F.coalesce("sid_label", "sid")).withColumn("rep_label", F.coalesce("rep_label", "rep"))
-    )
-    split = written(marked.filter("sid_label <> rep_label").select("key").distinct(), "jaccard")
-    here = marked.join(sized(split), "key")
-    members = here.select("key", "sid", F.col("sid_label").alias("label")).unionByName(
-        here.select("key", F.col("rep").alias("sid"), F.col("rep_label").alias("label"))
-    )
-    return written(members.distinct(), "jaccard")
+    of_sid = sized(labels).select(F.col("node").alias("sid"), "label")
+    marked = members.join(of_sid, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    apart = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
+    return marked.join(sized(written(apart, "jaccard")), "key")
 
 
-def _heads(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b, sid) of each node with one node of each of its blocks, drawn anew in every turn."""
-    drawn = members.groupBy("key").agg(F.min_by(F.struct("sid", "label"), F.xxhash64("sid", F.lit(turn))).alias("head"))
-    drawn = written(drawn.select("key", F.col("head.sid").alias("head"), F.col("head.label").alias("head_label")), "jaccard")
-    apart = members.join(drawn, "key").filter("label <> head_label")
-    return apart.select(F.least("sid", "head").alias("a"), F.greatest("sid", "head").alias("b"), "sid")
+def _heads(members: DataFrame) -> DataFrame:
+    """Pairs (a, b, sid) of each node with some nodes of each of its blocks: the smallest, and some drawn by hash."""
+    drawn = members.groupBy("key").agg(
+        F.array(F.min("sid"), *(F.min_by("sid", F.xxhash64("sid", F.lit(k))) for k in range(1, HEADS))).alias("heads")
+    )
+    met = members.join(written(drawn, "jaccard"), "key").select("sid", F.explode(F.array_distinct("heads")).alias("head")).filter("sid <> head")
+    return met.select(F.least("sid", "head").alias("a"), F.greatest("sid", "head").alias("b"), "sid")
 
 
 def _near(pairs: DataFrame, percent: int):
@@ -219,13 +204,13 @@ def _near(pairs: DataFrame, percent: int):
 
 
 def _best(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """For each node the pair that may be linked and whose sketches differ least."""
-    counted = pairs.distinct()
+    """For each node the few pairs that may be linked and whose sketches differ least."""
     of_a = nodes.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("dense").alias("dense_a"))
     of_b = nodes.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("dense").alias("dense_b"))
-    near = _near(counted.join(of_a, "a").join(of_b, "b"), percent)
-    best = near.groupBy("sid").agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("pair"))
-    return best.select("pair.a", "pair.b").distinct()
+    near = _near(pairs.distinct().join(of_a, "a").join(of_b, "b"), percent)
+    # A node meets a few nodes in each of its blocks, so its list is bounded by its own text.
+    best = near.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list(F.struct("apart", "a", "b"))), 1, HEADS).alias("few"))
+    return best.select(F.explode("few").alias("pair")).select("pair.a", "pair.b").distinct()
 
 
 def _rest(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
