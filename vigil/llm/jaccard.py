@@ -8,7 +8,7 @@ in; a block is held as the exclusive-or of its set bits' hashes. Documents that
   number of bits in them, most first, both partners' first k + 1 must have one in common; only these are joined.
 * Equal sets are one node. Equal blocks within a task are linked there, so a block's rows are at most one per task.
 * Each node is first checked against a few nodes: those whose sketches differ least among four nodes of each of its
-  blocks. What is then still in different components but shares a block is checked pair by pair. A bound by size and by
+  blocks; then, if its blocks have nodes of other components, once more against a few of those. What is then still in different components but shares a block is checked pair by pair. A bound by size and by
   a dense parity sketch comes before every check.
 
 No partner is capped: every pair at or above the threshold shares a block and is checked or already connected.
@@ -139,9 +139,15 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     ), "jaccard")
 
     members = written(shared.select("key", "sid").unionByName(shared.select("key", F.col("rep").alias("sid"))).distinct(), "jaccard")
-    checked = written(_best(_heads(members), nodes, percent), "jaccard")
+    alone = members.withColumn("label", F.col("sid"))
+    checked = written(_best(_heads(alone, 0, HEADS), nodes, percent), "jaccard")
     linked = written(_verify(checked, texts, nodes, shingle, percent), "jaccard")
     labels = components(linked)
+    # Once more with other nodes of the blocks, and only between components: most true links are found by then.
+    others = _heads(_open(members, labels), HEADS, 2 * HEADS).join(checked, ["a", "b"], "left_anti")
+    more = written(_best(others, nodes, percent), "jaccard")
+    linked = linked.unionByName(written(_verify(more, texts, nodes, shingle, percent), "jaccard"))
+    checked, labels = checked.unionByName(more), components(linked)
     rest = written(_rest(_open(members, labels), nodes, percent).join(checked, ["a", "b"], "left_anti"), "jaccard")
     if not rest.isEmpty():
         more = written(_verify(rest, texts, nodes, shingle, percent), "jaccard")
@@ -187,12 +193,15 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return marked.join(sized(written(apart, "jaccard")), "key")
 
 
-def _heads(members: DataFrame) -> DataFrame:
-    """Pairs (a, b, sid) of each node with some nodes of each of its blocks: the smallest, and some drawn by hash."""
+def _heads(members: DataFrame, first: int, count: int) -> DataFrame:
+    """Pairs (a, b, sid) of each node with some nodes of each of its blocks, in other components: drawn by hash number
+    ``first`` and on, of which number 0 is the order of the nodes themselves."""
+    one = F.struct("sid", "label")
     drawn = members.groupBy("key").agg(
-        F.array(F.min("sid"), *(F.min_by("sid", F.xxhash64("sid", F.lit(k))) for k in range(1, HEADS))).alias("heads")
+        F.array(*(F.min_by(one, F.xxhash64("sid", F.lit(k)) if k else F.col("sid")) for k in range(first, first + count))).alias("heads")
     )
-    met = members.join(written(drawn, "jaccard"), "key").select("sid", F.explode(F.array_distinct("heads")).alias("head")).filter("sid <> head")
+    met = members.join(written(drawn, "jaccard"), "key").select("sid", "label", F.explode(F.array_distinct("heads")).alias("head"))
+    met = met.filter("label <> head.label").select("sid", F.col("head.sid").alias("head"))
     return met.select(F.least("sid", "head").alias("a"), F.greatest("sid", "head").alias("b"), "sid")
 
 
