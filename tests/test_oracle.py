@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from check import differences, oracle_connection
 from conftest import TINY
 
-SLOW = ("stream_", "train_", "score_rows", "feature_importance", "permutation", "stack_scores", "isotonic")
+SLOW = ("stream_", "train_", "scored_", "training_labels", "score_rows", "feature_importance", "permutation", "stack_scores", "isotonic")
 KEYS = [k for k in entry.oracle_sql() if os.environ.get("VIGIL_ALL") or not k.startswith(SLOW)]
 
 

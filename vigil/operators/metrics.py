@@ -175,17 +175,14 @@ def record_counters(records: DataFrame, decisions: DataFrame) -> DataFrame:
 
     ``records`` is everything that arrived; ``decisions`` holds a row per scored hour.
     """
+    valid = F.col("is_valid")
     counted = check_records(records).agg(
-        count_where(F.col("is_valid")).alias("processed"), count_where(~F.col("is_valid")).alias("invalid")
+        count_where(valid).alias("processed"), count_where(~valid).alias("invalid"),
+        count_where(valid & F.col(HOUR).isNotNull() & F.col("proba").isNull()).alias("predict_errors"),
     )
     scored = decisions.agg(F.count(F.lit(1)).alias("predicted"), count_where(F.col("alarm")).alias("alarms"))
-    unscored = check_records(records).filter(F.col("is_valid") & F.col(HOUR).isNotNull() & F.col("proba").isNull())
-    return counted.withColumns(
-        {
-            "predicted": scored.select("predicted").scalar(), "alarms": scored.select("alarms").scalar(),
-            "predict_errors": unscored.agg(F.count(F.lit(1))).scalar(),
-        }
-    )
+    both = counted.withColumn("d", scored.select(F.struct("*")).scalar())
+    return both.select("processed", "invalid", F.col("d.predicted"), F.col("d.alarms"), "predict_errors")
 
 
 # Upper limits of the latency histogram, in milliseconds.

@@ -2,9 +2,9 @@
 
 Whether an alert is emitted depends on the last emitted one, so the rule is a chain. An alert whose
 predecessor lies at least the gap back is emitted whatever came before; it starts an *island*, and
-islands do not depend on each other. Islands of ordinary patients are walked in one expression.
-On large patients each slice of an island first says, for every possible entry, when its last
-emitted alert would be; chaining these short answers gives the true entry of every slice.
+islands do not depend on each other. An island shorter than the gap emits its first alert alone.
+Each slice of a longer one says, for every possible entry, when its last emitted alert would be;
+chaining these short answers gives the true entry of every slice.
 """
 
 from __future__ import annotations
@@ -37,25 +37,15 @@ def _islands(alerts: DataFrame, order, gap: int, rows: int, found: list) -> Data
     return out.drop("_first")
 
 
-def _walk(times, gap: int):
-    """Emitted times of a sorted list, as an expression."""
-    start = F.struct(F.lit(NEVER).alias("last"), F.array().cast("array<bigint>").alias("kept"))
-
-    def step(state, t):
-        emit = t - state["last"] >= gap
-        return F.when(emit, F.struct(t.alias("last"), F.concat(state["kept"], F.array(t)).alias("kept"))).otherwise(state)
-
-    return F.aggregate(times, start, step)["kept"]
-
-
 def _chain(ts: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
     """Per row: the next emitted row if this one is emitted, and the last emitted one of the slice."""
     following = np.searchsorted(ts, ts + gap)
-    last = np.arange(len(ts))
-    for i in range(len(ts) - 1, -1, -1):
-        if following[i] < len(ts):
-            last[i] = last[following[i]]
-    return following, last
+    last = np.where(following < len(ts), following, np.arange(len(ts)))
+    while True:  # jumps double in length until all stand at the end of their chain
+        further = last[last]
+        if (further == last).all():
+            return following, last
+        last = further
 
 
 def _slice_answer(gap: int):
@@ -131,12 +121,11 @@ def suppress_repeats(
     rows = rows_per_slice or ROWS_PER_SLICE
     width = int(gap_hours * 3_600_000_000)
     found = large_keys(alerts, KEY, rows)
-    islands = _islands(alerts, order, width, rows, found)
-    if found:
-        islands = written(islands, "islands")
-        kept = _emitted_in_slices(islands, width, rows, order, found)
-    else:
-        times = F.sort_array(F.collect_list("_at"))
-        kept = islands.groupBy(KEY, "_island").agg(times.alias("t")).select(KEY, F.explode(_walk(F.col("t"), width)).alias("_at"))
-    kept = kept.distinct()
+    islands = written(_islands(alerts, order, width, rows, found), "islands")
+    spans = written(islands.groupBy(KEY, "_island").agg(F.max("_at").alias("_end")), "islands")
+    short = F.col("_end") - F.col("_island") < width
+    longer = islands.join(spans.filter(~short).select(KEY, "_island"), [KEY, "_island"], "left_semi")
+    kept = spans.filter(short).select(KEY, F.col("_island").alias("_at")).unionByName(
+        _emitted_in_slices(longer, width, rows, order, found)
+    ).distinct()
     return islands.join(kept, [KEY, "_at"], "left_semi").select(*alerts.columns)

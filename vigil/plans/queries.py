@@ -427,6 +427,24 @@ def per_patient_results(spark, sf_dir):
     return rounded(metrics.per_patient_results(outcomes(spark, sf_dir)))
 
 
+def _result_file(spark, sf_dir, form):
+    """The results per patient as a file, read back."""
+    rows, path = metrics.per_patient_results(outcomes(spark, sf_dir)), shared_dir(spark, "results")
+    files.write_result(rows, path, form)
+    options = {"header": True} if form == "csv" else {}
+    return rounded(spark.read.schema(rows.schema).format(form).options(**options).load(path))
+
+
+@query
+def result_csv(spark, sf_dir):
+    return _result_file(spark, sf_dir, "csv")
+
+
+@query
+def result_json(spark, sf_dir):
+    return _result_file(spark, sf_dir, "json")
+
+
 @query
 def lead_time_stats(spark, sf_dir):
     return rounded(metrics.lead_times(metrics.per_patient_results(outcomes(spark, sf_dir))))
@@ -739,8 +757,8 @@ def stream_latest(spark, sf_dir):
     out, checkpoint = shared_dir(spark, "latest"), shared_dir(spark, "latest-checkpoint")
     for path in _arrivals(spark, sf_dir):
         stream = jobs.checked(jobs.read_records(spark, path))
-        progress = jobs.run_batches(stream, jobs.keep_latest(spark, out), checkpoint)
-    newest = spark.read.schema(stream.schema).parquet(f"{out}/v{progress['batchId']}")
+        jobs.run_batches(stream, jobs.keep_latest(spark, out), checkpoint)
+    newest = spark.read.schema(stream.schema).parquet(f"{out}/v{jobs.newest_version(spark, out)}")
     return rounded(newest.select(KEY, HOUR, TIE, *VITALS))
 
 
@@ -800,6 +818,33 @@ def score_rows(spark, sf_dir):
     return models.score(model, splits["test"], names).select(KEY, HOUR, LABEL, "proba")
 
 
+def _scored_chain(spark, sf_dir) -> DataFrame:
+    """Checked records through features, a saved and loaded bundle and its decision rule."""
+    model, names, _ = _trained(spark, sf_dir)
+    path = shared_dir(spark, "bundle")
+    models.save_bundle(model, names, {"threshold": THRESHOLD, "min_consecutive": RUN, "warmup_hours": WARMUP}, path)
+    model, names, params = models.load_bundle(spark, path)
+    rows = features(rules.accepted(inputs.vitals(spark, sf_dir)), extra=(TIE, "event_ts"))
+    scored = models.score(model, rows, names).select(KEY, HOUR, TIE, "event_ts", "proba")
+    return alarms.online_decisions(scored, **params)
+
+
+@query
+def scored_decisions(spark, sf_dir):
+    made = _scored_chain(spark, sf_dir)
+    return made.select(KEY, HOUR, TIE, "proba", F.col("streak").cast("int").alias("streak"), "muted", "alarm")
+
+
+@query
+def scored_chain_check(spark, sf_dir):
+    """How many records were checked in, decided on, and decided on without a probability or against the rule."""
+    made = written(_scored_chain(spark, sf_dir), "scored")
+    odd = ~F.col("proba").between(0, 1) | (F.col("alarm") != ((F.col("streak") >= RUN) & ~F.col("muted")))
+    counted = made.agg(F.count(F.lit(1)).alias("n_decided"), F.coalesce(F.sum(F.when(odd, 1).otherwise(0)), F.lit(0)).alias("n_odd"))
+    checked = rules.accepted(inputs.vitals(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(checked.scalar().alias("n_checked"), "n_decided", "n_odd")
+
+
 @query
 def feature_importance(spark, sf_dir):
     model, names, _ = _trained(spark, sf_dir)

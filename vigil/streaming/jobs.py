@@ -115,6 +115,13 @@ def land(records: DataFrame, path: str, checkpoint: str, ts="event_ts", form="js
     return run_available(by_day(records, ts), path, checkpoint, partition_by=("year", "month", "day"), form=form)
 
 
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The highest version that ``keep_latest`` has written; a run without new records writes none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return max(int(x.getPath().getName()[1:]) for x in listed if x.getPath().getName()[0] == "v")
+
+
 def keep_latest(spark: SparkSession, path: str, order=(HOUR, TIE)) -> Callable[[DataFrame, int], None]:
     """A batch step that keeps the newest row per patient: version ``n + 1`` is the newest of version
     ``n`` and the batch. A repeated batch writes the same version again."""

@@ -55,13 +55,13 @@ def add_streaks(threshold: float, min_consecutive: int, warmup_hours: int, histo
     def decide(key, frames, state):
         new = in_order(frames)
         now = state.get[0] if state.exists else 0
-        streaks = []
-        for hit in new["proba"] >= threshold:
-            now = min(now + 1, history) if hit else 0
-            streaks.append(now)
-        state.update((now,))
+        hit = (new["proba"] >= threshold).to_numpy()
+        place = np.arange(1, len(hit) + 1)
+        last_miss = np.maximum.accumulate(np.where(hit, 0, place))
+        runs = np.minimum(place - last_miss + np.where(last_miss == 0, now, 0), history)
+        state.update((int(runs[-1]),))
         muted = new["iculos_hours"] < warmup_hours
-        streak = pd.Series(streaks, index=new.index)
+        streak = pd.Series(runs, index=new.index)
         yield new.assign(streak=streak, muted=muted, alarm=~muted & (streak >= min_consecutive))
 
     return decide
