@@ -31,16 +31,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: five-word shingles, Jaccard similarity of 0.8 and more.
 
-    The one with the smallest doc_id stays. Rows that share a doc_id stay once for each different text. A row without
-    doc_id goes if its group has a document with one. Texts are shuffled only if many documents go or share a doc_id.
+    One row of each group stays: that with the smallest doc_id, and with the smallest set of shingles among several texts
+    of that doc_id. A row without doc_id stays only if its group has none with one. A text without shingles is in no
+    group: it stays once for each doc_id. Rows whose doc_id is their own are judged by it, so their texts are shuffled
+    only if very many go; only rows that share a doc_id, or have none, are told apart by their sets.
     """
-    found = written(jaccard.join(docs, shingle=5, percent=80), "pipeline")
-    gone = written(found.filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct(), "pipeline")
-    shared = written(found.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id"), "pipeline")
-    kept = docs.join(sized(gone), docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
-    single = kept.join(sized(shared), kept["doc_id"].eqNullSafe(shared["_id"]), "left_anti")
-    several = kept.join(sized(shared), kept["doc_id"].eqNullSafe(shared["_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(several)
+    found = written(jaccard.join(docs, shingle=5, percent=80, groups=True), "pipeline")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "set_id")).alias("first")
+    stay = found.filter("group IS NOT NULL").groupBy("group").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.set_id").alias("_kept"))
+    stay = written(stay, "pipeline")
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows"), F.min("set_id").alias("_kept"))
+    ids = written(ids, "pipeline")
+    shared = written(ids.filter("rows > 1 OR _id IS NULL").select("_id"), "pipeline")
+    gone = written(ids.filter("rows = 1 AND _id IS NOT NULL AND _kept IS NOT NULL").join(stay, ["_id", "_kept"], "left_anti").select("_id"), "pipeline")
+
+    of_shared = docs["doc_id"].eqNullSafe(shared["_id"])
+    single = docs.join(sized(gone), docs["doc_id"] == gone["_id"], "left_anti").join(sized(shared), of_shared, "left_anti")
+    several = jaccard.with_set(docs.join(sized(shared), of_shared, "left_semi"), "_set", shingle=5)
+    best = several.join(sized(stay), several["doc_id"].eqNullSafe(stay["_id"]) & (several["_set"] == stay["_kept"]), "left_semi")
+    best = best.dropDuplicates(["doc_id", "_set"])
+    blank = several.filter("_set IS NULL").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(best.unionByName(blank).drop("_set"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -217,3 +217,15 @@ def test_pipeline_of_awkward_documents(spark):
     assert {None, 1, 2, 3, 5, 7, 10, 13}.isdisjoint({r.doc_id for r in docs.collect()})
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing(spark), TINY).count() == 0
+
+
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    texts = {c: " ".join(f"{c}{i}" for i in range(30)) for c in "ABCDEF"}
+    rows = [
+        (1, "A"), (None, "A"), (None, "C"), (None, "D"), (None, "D"),  # a copy without id beside unique rows without id
+        (5, "A"), (5, "B"), (9, "B"), (5, "B"),  # an id with two texts: one goes with A, one is the first of B
+        (7, "E"), (7, "F"), (8, "E"),
+    ]
+    docs = spark.createDataFrame([document(i, texts[c]) for i, c in rows], SCHEMA).repartition(3)
+    kept = sorted((r.text[0], r.doc_id) for r in corpus_pipeline.duplicates(spark, docs, TINY).collect())
+    assert kept == [("A", 1), ("B", 5), ("C", None), ("D", None), ("E", 7), ("F", 7)]

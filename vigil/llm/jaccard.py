@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.llm import units, words
 from vigil.llm.components import components, sized
@@ -91,14 +92,28 @@ def _local(keys: list[np.ndarray], ids: list[int]):
     )
 
 
-def join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+def with_set(docs: DataFrame, name: str, shingle: int = 5) -> DataFrame:
+    """``docs`` with the id of each text's shingle set in column ``name``; null for a text without shingles."""
+    def run(rows):
+        for batch in units.batches(rows, "text"):
+            found = sets(batch.column(batch.schema.get_field_index("text")), shingle)
+            sid = np.array([set_id(s) for s in found], dtype=np.int64)
+            none = np.array([not len(s) for s in found], dtype=bool)
+            yield pa.record_batch([*batch.columns, pa.array(sid, mask=none)], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
+def join(docs: DataFrame, shingle: int = 5, percent: int = 80, groups: bool = False) -> DataFrame:
     """Components of documents linked by shingle sets: doc_id, n_shingles, component_id for every row of ``docs``.
 
     Words are runs without white space, A-Z lower-cased; a text of fewer than ``shingle`` words is one shingle. Two
     documents link when 100 * intersection >= percent * union, so equal sets always do. component_id is the smallest
     doc_id reachable. A text that is null or has no word has no shingles and stands alone. Repeated rows are in one
     component; a null doc_id counts only if its component has no other. An empty table gives an empty result; columns
-    besides doc_id and text are not read. Shingles are compared by 64-bit hashes.
+    besides doc_id and text are not read. Shingles are compared by 64-bit hashes. With ``groups`` there are two more
+    columns, which tell rows apart that share a doc_id or have none: set_id (see ``with_set``) and group, the smallest
+    set_id of the component; both are null for a text without shingles.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
@@ -155,10 +170,11 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
 
     named = nodes.select("sid", "doc_id").join(labels, F.col("sid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "sid"))
     smallest = written(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard")
-    of_set = written(named.select("sid", "label"), "jaccard").join(smallest, "label").select("sid", "component_id")
+    of_set = written(named.select("sid", "label"), "jaccard").join(smallest, "label").select("sid", "label", "component_id")
     of_set = written(of_set, "jaccard")
+    more = [F.col("sid").alias("set_id"), F.col("label").alias("group")] if groups else []
     return signed.join(of_set, "sid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), *more
     )
 
 
