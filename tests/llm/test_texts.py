@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -88,6 +89,18 @@ def test_jaccard_of_awkward_documents(spark):
     assert jaccard.join(nothing(spark), 5, 80).count() == 0
 
 
+def test_jaccard_links_rows_without_id(spark):
+    """Near copies, not exact ones, among rows without doc_id, and of one such row with an identified document."""
+    base = {c: [f"{c}{i}" for i in range(60)] for c in "abc"}
+    near = {c: " ".join([*w, "more"]) for c, w in base.items()}
+    whole = {c: " ".join(w) for c, w in base.items()}
+    rows = [(None, whole["a"]), (None, near["a"]), (None, near["a"]), (7, whole["b"]), (None, near["b"]), (None, whole["c"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = jaccard.join(docs, 5, 80, groups=True).collect()
+    assert sorted((r.n_shingles, r.component_id or 0) for r in found) == [(56, 0), (56, 0), (56, 7), (57, 0), (57, 0), (57, 7)]
+    assert sorted(Counter(r.group for r in found).values()) == [1, 2, 3]
+
+
 def test_blocks_of_linked_sets_meet():
     """Every pair of sets at the threshold shares a block key, whatever tokens are changed."""
     rng = np.random.default_rng(0)

@@ -150,7 +150,7 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80, groups: bool = Fa
     shared = blocks.withColumn("rep", F.coalesce("rep", F.first("sid").over(whole))).filter("rep <> sid")
     shared = written(shared, "jaccard")
     nodes = written(signed.filter("sid IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min_by("dense", "doc_id").alias("dense")
+        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.first("dense").alias("dense")
     ), "jaccard")
 
     members = written(shared.select("key", "sid").unionByName(shared.select("key", F.col("rep").alias("sid"))).distinct(), "jaccard")
@@ -182,6 +182,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int,
     """The pairs (a, b) whose shingle sets are similar enough, by exact intersection of the sets."""
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     wanted = written(wanted.join(nodes.select("sid", "doc_id"), "sid"), "jaccard")
+    named, unnamed = wanted.filter("doc_id IS NOT NULL"), wanted.filter("doc_id IS NULL").select("sid")
 
     def tokens(rows):
         for batch in units.batches(rows, "text"):
@@ -191,9 +192,13 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int,
                 [pa.array([i for i, _ in kept], pa.int64()), pa.array([s for _, s in kept], pa.list_(pa.int64()))], ["sid", "tokens"]
             )
 
-    chosen = texts.join(sized(wanted), "doc_id").select("sid", "text")
+    chosen = texts.join(sized(named), "doc_id").select("sid", "text")
     # Rows of one doc_id can differ in text; only those whose set is meant are kept.
-    found = written(chosen.mapInArrow(tokens, "sid long, tokens array<long>"), "jaccard")
+    found = chosen.mapInArrow(tokens, "sid long, tokens array<long>")
+    if not unnamed.isEmpty():  # sets of which no row has a doc_id are found by the set itself
+        marked = with_set(texts.filter("doc_id IS NULL").select("text"), "sid", shingle).join(sized(unnamed), "sid", "left_semi")
+        found = found.unionByName(marked.select("sid", "text").dropDuplicates(["sid"]).mapInArrow(tokens, "sid long, tokens array<long>"))
+    found = written(found, "jaccard")
     left = found.select(F.col("sid").alias("a"), F.col("tokens").alias("of_a"))
     right = found.select(F.col("sid").alias("b"), F.col("tokens").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b"))
