@@ -229,3 +229,14 @@ def test_near_duplicates_go_by_row_not_by_id(spark):
     docs = spark.createDataFrame([document(i, texts[c]) for i, c in rows], SCHEMA).repartition(3)
     kept = sorted((r.text[0], r.doc_id) for r in corpus_pipeline.duplicates(spark, docs, TINY).collect())
     assert kept == [("A", 1), ("B", 5), ("C", None), ("D", None), ("E", 7), ("F", 7)]
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<div class='layout has-sidebar'><article><p>a</p></article></div>", "a"), ("<main class='no-sidebar'><p>a</p></main>", "a"),
+    ("<div id='content' class='with-header'><p>a</p></div>", "a"), ("<article class='post comments-open'><p>a</p></article>", "a"),
+    ("<body><form><nav>n</nav><main><p>a</p><form>f</form></main></form></body>", "a"), ("<form><div class='menu'>m</div><p>a</p></form>", "a"),
+    ("<div class='widget'><article class='share'><p>a</p></article></div><div class='sidebar'>s</div>", "a"),
+    ("<article><p>a</p></article><div id='comments'><article class='comment'><p>c</p></article></div>", "a"),
+])
+def test_hints_leave_the_article(page, text):
+    assert mainhtml.extract(page) == text

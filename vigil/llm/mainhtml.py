@@ -49,25 +49,50 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+BEFORE = set("has have no not non with without hide hides hidden show shows".split())  # has-sidebar is no sidebar
+AFTER = set("open closed off on enabled disabled free less".split())  # comments-open are no comments
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
 
 class Element:
-    """An open element: its style node (0 for none), whether it is dropped or in the article, its children's styles."""
+    """An open element: its style node (0 for none), whether it is dropped or in the article, its children's styles.
 
-    __slots__ = ("tag", "node", "nodes", "dropped", "article", "children")
+    ``hinted`` are the elements from it upwards that are dropped by a form or a hint, unless they turn out to hold the
+    article (``holds``) of the page.
+    """
+
+    __slots__ = ("tag", "node", "nodes", "dropped", "article", "children", "hinted", "holds")
 
-    def __init__(self, tag, node, nodes, dropped, article):
+    def __init__(self, tag, node, nodes, dropped, article, hinted=(), holds=False):
         self.tag, self.node, self.nodes, self.dropped, self.article, self.children = tag, node, nodes, dropped, article, []
+        self.hinted, self.holds = hinted, holds
+
+
+def hinted(value: str) -> bool:
+    """Whether a class or id says that its element is no main text."""
+    for token in value.split():
+        said = [w.lower() for w in _WORD.findall(token)]
+        for k, w in enumerate(said):
+            if w in HINTS and not BEFORE.intersection(said[:k]) and not AFTER.intersection(said[k + 1:]):
+                return True
+    return False
 
 
 def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], list[tuple[int, int]]]:
-    """(blocks, styles) of a page, whatever its markup is like.
+    """The blocks and styles of ``parsed``."""
+    return parsed(text)[:2]
 
-    A block is (text, style nodes above it, dropped, in the article); styles are (style node, hash of its children).
+
+def parsed(text: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], list[tuple[int, int]], set[int]]:
+    """(blocks, styles, holders) of a page, whatever its markup is like.
+
+    A block is (text, style nodes above it, dropped, in the article); styles are (style node, hash of its children);
+    holders are the style nodes that hold the only article of the page, and those of its html, body and main elements.
+    A hint drops an element that is no article or main element and holds none; one that does, and a form, are dropped
+    only if there is text outside of them (in an article, if some is).
     """
-    blocks, styles, parts = [], [], []
+    blocks, styles, parts, holders, articles = [], [], [], set(), []
     stack = [Element("", 0, (), False, False)]
 
     def flush():
@@ -75,14 +100,14 @@ def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
             found = " ".join("".join(parts).split())
             if found:
                 top = stack[-1]
-                blocks.append((found, top.nodes, top.dropped, top.article))
+                blocks.append((found, top.nodes, top.dropped, top.article, top.hinted))
             parts.clear()
 
     def close(depth: int):
         while len(stack) > depth:
             e = stack.pop()
             if e.node and not e.dropped:
-                styles.append((e.node, xxhash.xxh3_64_intdigest(" ".join(e.children))))
+                styles.append((e.node, xxhash.xxh3_64_intdigest(" ".join(e.children)), e.hinted))
 
     def depth_of(tags, stop=()):
         for k in range(len(stack) - 1, 0, -1):
@@ -138,27 +163,52 @@ def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
                 if k:
                     close(k)
         parent = stack[-1]
-        dropped, label, main = parent.dropped or tag in DROPPED and not (tag == "header" and parent.article), tag, tag in ("article", "main")
+        dropped, label, main = parent.dropped or tag in DROPPED and tag != "form" and not (tag == "header" and parent.article), tag, tag in ("article", "main")
+        hint = False
         if m.group(3) and not m.group(3).isspace():
             for name, value in _ATTRIBUTE.findall(m.group(3)):
                 name, value = name.lower(), value.strip("\"'")
                 if name in ("class", "id"):
                     label += f" {name}={value}"
-                    dropped = dropped or tag not in ("html", "body") and any(w.lower() in HINTS for w in _WORD.findall(value))
+                    hint = hint or tag not in ("html", "body") and hinted(value)
                 elif name == "role":
-                    dropped, main = dropped or value.lower() in ROLES, main or value.lower() == "main"
+                    dropped, main = dropped or value.lower() in ROLES and (tag, value.lower()) != ("form", "form"), main or value.lower() == "main"
                 elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value.lower()):
                     dropped = True
         if not inline:
             parent.children += [label] if parent.children[-1:] != [label] else []
         if inline or tag in PLAIN:
-            stack.append(Element(tag, 0, parent.nodes, dropped, parent.article))
+            e = Element(tag, 0, parent.nodes, dropped or inline and hint, parent.article, parent.hinted)
         else:
             node = xxhash.xxh3_64_intdigest(label, seed=parent.nodes[-1] if parent.nodes else 0)
-            stack.append(Element(tag, node, (*parent.nodes, node), dropped, parent.article or main))
+            e = Element(tag, node, (*parent.nodes, node), dropped, parent.article or main, parent.hinted, main or tag == "form")
+        if not inline and (hint or tag == "form") and not dropped:
+            e.hinted = (*parent.hinted, e)
+        if main and not dropped:
+            for above in parent.hinted:
+                above.holds = True
+            if tag == "article":
+                articles.append(e.nodes)
+            else:
+                holders.update(e.nodes)
+        elif tag in ("html", "body"):
+            holders.update(e.nodes)
+        stack.append(e)
     flush()
     close(1)
-    return blocks, styles
+    if len(articles) == 1:
+        holders.update(articles[0])
+
+    def out(dropped, above):
+        return dropped or any(not e.holds for e in above)
+
+    left = [(article, len(above)) for _, _, dropped, article, above in blocks if not out(dropped, above)]
+    some = any(article for article, _ in left)
+    least = min((depth for article, depth in left if article or not some), default=0)
+    return (
+        [(t, nodes, out(dropped, above) or len(above) > least, article) for t, nodes, dropped, article, above in blocks],
+        [(node, children) for node, children, above in styles if not out(False, above) and len(above) <= least], holders,
+    )
 
 
 def extract(text: str | None, low: set[int] = frozenset()) -> str:
