@@ -240,3 +240,16 @@ def test_near_duplicates_go_by_row_not_by_id(spark):
 ])
 def test_hints_leave_the_article(page, text):
     assert mainhtml.extract(page) == text
+
+
+@pytest.mark.parametrize("copies", [10, 1000])
+def test_copies_of_a_page_keep_their_text(spark, copies):
+    body = "<body><div class='top'>Same words on every page</div>%s</body>"
+    post = body % "<div class='wrap'><article id='post-17'><h1>T</h1><div class='text'><p>copied words</p></div></article></div>"
+    rows = [(i, f"https://h.example/?utm={i}", post) for i in range(copies)]
+    # a host of articles in large groups of copies, without article elements, one page of odd structure, and the template
+    rows += [(10_000 + i, f"https://g.example/{i}", body % f"<div class='body'><p>group {i % 9}</p></div>") for i in range(9 * copies)]
+    rows += [(9_999, "https://g.example/odd", "<body><table><tr><td>odd</td></tr></table></body>")]
+    found = {r.page_id: r.text for r in mainhtml.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == "T copied words" for i in range(copies)) and found[9_999] == "odd"
+    assert all(found[10_000 + i] == f"group {i % 9}" for i in range(9 * copies))

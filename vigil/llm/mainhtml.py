@@ -211,13 +211,20 @@ def parsed(text: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], li
     )
 
 
+def _main(blocks: list) -> list:
+    """The blocks of the article (of the body if it has none) outside dropped branches."""
+    kept = [b for b in blocks if not b[2]]
+    return [b for b in kept if b[3]] or kept
+
+
 def extract(text: str | None, low: set[int] = frozenset()) -> str:
-    """The main text of a page: the blocks of its article (of its body if it has none) outside dropped and low branches."""
-    blocks, _ = parse(text or "")
-    if any(article for *_, article in blocks):
-        blocks = [b for b in blocks if b[3]]
-    kept = [t for t, nodes, dropped, _ in blocks if not dropped and not (low and low.intersection(nodes))]
-    return " ".join(kept)
+    """The main text of a page: the blocks of its article (of its body if it has none) outside dropped and low branches.
+
+    A branch that holds the only article, main or body text of the page is not removed for being low.
+    """
+    blocks, _, holders = parsed(text or "")
+    blocks, low = _main(blocks), low - holders
+    return " ".join(b[0] for b in [b for b in blocks if low.isdisjoint(b[1])] or blocks)
 
 
 def _signed(x: int) -> int:
@@ -225,10 +232,12 @@ def _signed(x: int) -> int:
 
 
 def _features(rows):
-    """(host, node, kind, feature) once per page: pages (0), sequences of children (1) and texts (2) of style nodes."""
+    """(host, page, order, features) of distinct pages: (node, kind, feature) for pages (0), sequences of children (1)
+    and texts (2) of style nodes. ``page`` tells the main text, so copies share it; the least ``order`` stands for them."""
+    known = set()
     for batch in units.batches(rows, "html"):
-        hosts, found = batch.column(0).to_pylist(), ([], [], [], [])
-        for host, text in zip(hosts, batch.column(1).to_pylist()):
+        out = ([], [], [], [])
+        for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             blocks, styles = parse(text or "")
             mine = {(node, 1, children) for node, children in styles}
             for t, nodes, dropped, _ in blocks:
@@ -236,23 +245,39 @@ def _features(rows):
                     content = xxhash.xxh3_64_intdigest(t)
                     mine.update((node, 2, content) for node in nodes)
             mine |= {(node, 0, 0) for node, _, _ in mine}
-            for node, kind, feature in mine:
-                for column, x in zip(found, (host, _signed(node), kind, _signed(feature))):
+            flat = np.array(sorted(mine), dtype=np.uint64).reshape(-1, 3).astype(np.int64)
+            order = _signed(xxhash.xxh3_64_intdigest(flat.tobytes()))
+            said = " ".join(b[0] for b in _main(blocks))
+            page = _signed(xxhash.xxh3_64_intdigest(said)) if said else order
+            if (host, page, order) not in known:
+                known.add((host, page, order))
+                for column, x in zip(out, (host, page, order, flat.ravel())):
                     column.append(x)
         yield pa.record_batch(
-            [pa.array(found[0], pa.string()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.int32()), pa.array(found[3], pa.int64())],
-            ["host", "node", "kind", "feature"],
+            [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.int64()))],
+            ["host", "page", "order", "features"],
         )
 
 
+def _listed(rows):
+    """The features of each page as rows (host, node, kind, feature)."""
+    for batch in rows:
+        counts = np.diff(batch.column(1).offsets.to_numpy()) // 3
+        flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
+        host = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), counts)))
+        yield pa.record_batch([host, pa.array(flat[:, 0]), pa.array(flat[:, 1].astype(np.int32)), pa.array(flat[:, 2])], ["host", "node", "kind", "feature"])
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
     """(host, node, pages, importance) of every style node of the merged pages (host, html).
 
     With m pages and l sequences of children, presentation is -sum p log_m p over the sequences, content is 1 minus the
     mean of log_m of the pages on which each text below the node occurs; together (1 - g^l) presentation + g^l content.
-    Counts are aggregated on the map side, so a host may have any number of pages.
+    Pages of one main text count as one. Counts are aggregated on the map side, so a host may have any number of pages.
     """
-    seen = pages.mapInArrow(_features, "host string, node long, kind int, feature long")
+    found = pages.mapInArrow(_features, "host string, page long, order long, features array<long>")
+    distinct = found.groupBy("host", "page").agg(F.min_by("features", "order").alias("features")).select("host", "features")
+    seen = distinct.mapInArrow(_listed, "host string, node long, kind int, feature long")
     counts = seen.groupBy("host", "node", "kind", "feature").agg(F.count("*").alias("n"))
     sums = counts.groupBy("host", "node").agg(
         F.max(F.expr("if(kind = 0, n, NULL)")).alias("pages"),
@@ -270,12 +295,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html; other columns are not read).
 
     Null html is an empty page; a page without main text gives the empty string. A null or odd url belongs to a host of
-    its own kind (the empty one). Repeated rows give repeated results, and count as pages of their host. An empty table
+    its own kind (the empty one). Repeated rows give repeated results, and count as one page of their host. An empty table
     gives an empty result. Nothing is cut: the text is whole, whatever its length.
     """
     hosted = pages.select("page_id", "url", "html", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1)).alias("host"))
     tree = written(style_tree(hosted.select("host", "html")), "mainhtml")
-    best = tree.groupBy("host").agg(F.max("importance").alias("best"))
+    best = tree.filter("pages > 1").groupBy("host").agg(F.max("importance").alias("best"))  # of one page importance says nothing
     low = tree.join(best, "host").filter(f"pages >= {LEAST_PAGES} AND importance < {LOW} * best")
     low = written(low.groupBy("host").agg(F.collect_list("node").alias("low")), "mainhtml")
 
