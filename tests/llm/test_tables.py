@@ -44,6 +44,29 @@ def test_near_vectors(spark):
     assert nearvec.dedup(table.filter("vec_id < 0")).count() == 0
 
 
+def crowd(n, pairs, seed=6, dim=64):
+    """Vectors of which a third crowd together at a cosine of 0.9, and planted pairs at 0.951 in the crowd: (rows, pairs)."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal(dim))
+    around = unit(rng.standard_normal((n, dim)))
+    around = unit(around - (around @ centre)[:, None] * centre)
+    thick = np.sqrt(0.9) * centre + np.sqrt(0.1) * around
+    way = rng.standard_normal((pairs, dim))
+    for to in (centre, around[:pairs]):
+        way -= (way * to).sum(-1, keepdims=True) * to
+    turned = 0.51 * around[:pairs] + np.sqrt(1 - 0.51**2) * unit(way)
+    x = np.concatenate([thick, np.sqrt(0.9) * centre + np.sqrt(0.1) * turned, unit(rng.standard_normal((2 * n, dim)))])
+    return list(enumerate(x.tolist())), [(i, n + i) for i in range(pairs)]
+
+
+def test_pairs_in_a_crowd_meet(spark):
+    rows, pairs = crowd(20_000, 400)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)
+    of = {r.vec_id: r.component_id for r in nearvec.dedup(table).collect()}
+    assert sum(of[a] == of[b] for a, b in pairs) >= 0.98 * len(pairs)
+
+
 def test_vectors_of_the_small_table(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{TINY}/embeddings.parquet").collect()]
     got = {r.vec_id: (r.n_links, r.component_id) for r in CATALOGUE["op2_nearvec"](spark, TINY).collect()}
