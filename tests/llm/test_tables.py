@@ -147,6 +147,24 @@ def test_licenses(spark):
         assert max(got[i].values()) == pytest.approx(best) and all(f[k] == pytest.approx(v) for k, v in got[i].items())
 
 
+def test_neighbouring_licenses_are_all_found(spark):
+    """A whole license beside an edited one of the same width: both stay; a variant of the whole one does not."""
+    def edited(name):
+        return re.sub(r"\w+$", "other", licenses.TEMPLATES[name])
+
+    pairs = [("BSD", "GPL"), ("BSD", "ISC"), ("ISC", "Zlib"), ("BSD", "Apache-2.0"), ("Unlicense", "MPL-2.0"), ("MIT-licensed", "Apache-2.0-notice"), ("CC-BY-4.0", "Apache-2.0-notice")]
+    texts = {k: f"{licenses.TEMPLATES[a]}. {edited(b)}." for k, (a, b) in enumerate(pairs)}
+    texts |= {100: licenses.TEMPLATES["GPL-2.0-notice"], 101: licenses.TEMPLATES["GPL-2.0-notice"] + ". " + licenses.TEMPLATES["GPL-3.0-notice"]}
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, {})[r.license] = r.containment
+    for k, pair in enumerate(pairs):
+        brute = plain_licenses(texts[k])
+        assert set(brute) >= set(pair) and set(got[k]) >= set(pair), (pair, got[k], brute)
+        assert all(got[k][n] == pytest.approx(brute[n]) for n in got[k])
+    assert set(got[100]) == {"GPL-2.0-notice"} and set(got[101]) == {"GPL-2.0-notice", "GPL-3.0-notice"}
+
+
 def test_licenses_of_awkward_documents(spark):
     noted = [document(1, None), document(2, ""), document(3, "MIT License"), document(4, "Released under the MIT License."), document(4, "x")]
     rows = licenses.scan(spark.createDataFrame(noted, SCHEMA)).collect()

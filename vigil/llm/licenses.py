@@ -77,9 +77,10 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int = PERCENT) -> DataFrame:
     """Licenses named in the whole texts of ``docs`` (doc_id, text): doc_id, license, containment, first_word, windows.
 
-    One row for each document and template of which some window contains at least ``percent`` of the shingles, and no
-    smaller part than of any other template of that width there or in the next windows: the best containment, where the
-    first such window begins, and how many windows hold it. A window without any shingle of any template contains nothing
+    One row for each document and template of which some window contains at least ``percent`` of the shingles: the best
+    containment, where the first such window begins, and how many windows hold it. A window does not hold a template
+    that is only a variant of another one of that width, there or in the next windows: one of which a larger part is
+    contained, at common places, and which has all shingles that were found of the variant. A window without any shingle of any template contains nothing
     of one and is skipped before the bands. A null, blank or unlicensed text gives no row; rows of one doc_id are one
     document; an empty table gives an empty result; other columns are not read. Templates are a bounded list, so they are
     broadcast and their hashes are constants of the plan.
@@ -93,7 +94,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int
     hits = found.withColumn("hits", F.expr(f"filter(transform(all, (x, i) -> if(x IN ({hashes}), i, -1)), i -> i >= 0)")).filter("size(hits) > 0")
     starts = ", ".join(
         f"transform(array_distinct(flatten(transform(hits, i -> filter(array(i div {w // 2} - 1, i div {w // 2}), b -> b >= 0)))),"
-        f" b -> struct({w} AS width, CAST(b * {w // 2} AS INT) AS start, array_distinct(slice(all, CAST(b * {w // 2} AS INT) + 1, {w - SHINGLE + 1})) AS has))"
+        f" b -> struct({w} AS width, CAST(b * {w // 2} AS INT) AS start, slice(all, CAST(b * {w // 2} AS INT) + 1, {w - SHINGLE + 1}) AS has))"
         for w in widths
     )
     windows = hits.select("doc_id", F.expr(f"inline(concat({starts}))"))
@@ -101,10 +102,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int
     bands = table.select("license", "width", "of", F.explode("bands").alias("band"))
     common = F.expr("size(array_intersect(has, of))")
     matched = banded.join(F.broadcast(bands), ["width", "band"]).filter(100 * common >= percent * F.size("of"))
-    held = matched.groupBy("doc_id", "width", "start", "license").agg(F.max(common / F.size("of")).alias("containment"))
-    held = held.withColumn("slot", F.expr("2 * start div width"))
+    found_of = matched.select(
+        "doc_id", "width", "start", "license", "of", (common / F.size("of")).alias("containment"), F.array_intersect("has", "of").alias("own"),
+        F.expr("filter(transform(has, (x, i) -> if(array_contains(of, x), xxhash64(start + i, x), NULL)), x -> x IS NOT NULL)").alias("at"),
+    )
+    held = found_of.groupBy("doc_id", "width", "start", "license").agg(F.max(F.struct("containment", "at", "own", "of")).alias("most"))
+    held = held.select("doc_id", "width", "start", "license", "most.*").withColumn("slot", F.expr("2 * start div width"))
     here = Window.partitionBy("doc_id", "width").orderBy("slot").rangeBetween(-1, 1)  # an occurrence can be cut by a window
-    best = held.withColumn("best", F.max("containment").over(here)).filter("containment = best")
+    variant = "exists(others, o -> o.containment > containment AND arrays_overlap(o.at, at) AND size(array_except(own, o.of)) = 0)"
+    best = held.withColumn("others", F.collect_list(F.struct("containment", "at", "of")).over(here)).filter(f"NOT {variant}")
     return best.groupBy("doc_id", "license").agg(
         F.max("containment").alias("containment"), F.min("start").cast("bigint").alias("first_word"),
         F.countDistinct("start").alias("windows"),
