@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import bpe, jaccard, langid, licenses, mainhtml, mixing, nearvec, sharding, simhash, tokenids
+from vigil.llm import bpe, jaccard, langid, licenses, mainhtml, mixing, nearvec, pieces, sharding, simhash, tokenids
 
 CATALOGUE = {}
 SQL = {}
@@ -122,3 +122,15 @@ SELECT doc_id, size, source_size, target, taken, CASE WHEN size = 0 THEN 0 ELSE
        CASE WHEN taken > 0 THEN (first_shard + ((pos // 16 - first) % blocks + blocks) % blocks) % 16 END AS shard
 FROM counted
 """
+
+
+def piece_model_path() -> str:
+    """The SentencePiece model that op11 uses; it lies at the same place on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_pieces(spark, sf_dir):
+    return pieces.digest(table(spark, sf_dir, "documents"), piece_model_path())
