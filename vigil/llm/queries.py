@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import bpe, jaccard, langid, licenses, mainhtml, mixing, nearvec, pieces, sharding, simhash, tokenids
+from vigil.llm import bpe, jaccard, langid, licenses, mainhtml, mixing, nearvec, pieces, repair, sharding, simhash, tokenids
 
 CATALOGUE = {}
 SQL = {}
@@ -134,3 +134,8 @@ def piece_model_path() -> str:
 @query
 def op11_pieces(spark, sf_dir):
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model_path())
+
+
+@query
+def op12_repair(spark, sf_dir):
+    return repair.repair(table(spark, sf_dir, "conversations"))
