@@ -53,80 +53,92 @@ class Model:
         self.chars = {c for p in self.id_of for c in p if c in self.id_of}
         known = "".join(regex.escape(c) for c in sorted(self.chars - {SPACE}))
         self.cut = regex.compile(f"({SPACE}*[{known}]+|{SPACE}+)|(.)", regex.DOTALL)
-        spans, last = [], None
-        for c in sorted(ord(c) for c in self.chars - {SPACE}):
-            if spans and c == last + 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
-            last = c
-        other = "".join(f"\\x{{{a:X}}}" + (f"-\\x{{{b:X}}}" if b > a else "") for a, b in spans)
-        #: Arrow (RE2) patterns that put MARK at every cut: before a ``▁`` after another known character, around others.
-        self.arrow_cuts = [(f"([{other}]){SPACE}", f"\\1{MARK}{SPACE}"), (f"([^{other}{SPACE}])", f"{MARK}\\1{MARK}")]
+        ascii_unknown = "".join(f"\\x{{{c:X}}}" for c in range(128) if chr(c) not in self.chars)
+        #: Arrow (RE2) patterns that put MARK at cuts: before a ``▁`` after another character, around unknown ASCII ones.
+        #: A segment that still holds an unknown character is cut further in Python.
+        self.arrow_cuts = [(f"([^{SPACE}]){SPACE}", f"\\1{MARK}{SPACE}"), (f"([{ascii_unknown}])", f"{MARK}\\1{MARK}")]
         self.whole = {i for p, i in self.id_of.items() if self.merged(p) == [i]}
         self.automaton = ahocorasick.Automaton()
         for p, i in self.id_of.items():
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.length = [len(p) for p in self.piece]
         self.segments: dict[str, list[int]] = {}
 
     def merged(self, text: str) -> list[int]:
         """The model's own rule on a short text of known characters: merge the adjacent pair whose joined piece scores
         highest, the leftmost of equal ones, until no joined pair is a piece. Used for pair tests and as brute force."""
+        score, low = self.score, float("-inf")
         symbols = list(text)
-        while len(symbols) > 1:
-            best, at = None, -1
-            for k in range(len(symbols) - 1):
-                s = self.score.get(symbols[k] + symbols[k + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, k
-            if at < 0:
+        scores = [score.get(symbols[k] + symbols[k + 1], low) for k in range(len(symbols) - 1)]
+        while scores:
+            best = max(scores)
+            if best == low:
                 break
+            at = scores.index(best)
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+            del scores[at]
+            if at > 0:
+                scores[at - 1] = score.get(symbols[at - 1] + symbols[at], low)
+            if at < len(scores):
+                scores[at] = score.get(symbols[at] + symbols[at + 1], low)
         return [self.id_of[s] for s in symbols]
 
     def compatible(self, a: int, b: int) -> bool:
-        key = (a, b)
+        key = a << 16 | b
         known = self.pairs.get(key)
         if known is None:
             known = self.pairs[key] = self.merged(self.piece[a] + self.piece[b]) == [a, b]
         return known
 
     def segment(self, text: str) -> list[int]:
-        """Ids of one segment of known characters by the prefix table, read backwards."""
-        n = len(text)
-        ending: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        """Ids of one segment of known characters by the prefix table, read backwards.
+
+        The automaton reports the pieces that end at each place in ascending order of places, the longest first; the
+        first candidate that fits is the last token of that prefix and the others there are passed over."""
+        whole = self.id_of.get(text)
+        if whole in self.whole:
+            return [whole]
+        n, pairs, single, compatible = len(text), self.pairs, self.whole, self.compatible
+        last = [-1] * (n + 1)
+        done = -1
         for end, (length, i) in self.automaton.iter(text):
-            ending[end].append((length, i))
-        last = [0] * (n + 1)
-        for end in range(n):
-            found = -1
-            for length, i in sorted(ending[end], reverse=True):
-                start = end + 1 - length
-                if (self.compatible(last[start], i) if start else i in self.whole):
-                    found = i
-                    break
-            last[end + 1] = found
+            if end == done:
+                continue
+            start = end + 1 - length
+            if start:
+                before = last[start]
+                fits = pairs.get(before << 16 | i)
+                if fits is None:
+                    fits = compatible(before, i)
+            else:
+                fits = i in single
+            if fits:
+                last[end + 1] = i
+                done = end
         ids, at = [], n
         while at > 0:
             i = last[at]
             ids.append(i)
-            at -= len(self.piece[i])
+            at -= self.length[i]
         return ids[::-1]
 
-    def cached(self, text: str) -> list[int]:
-        """Ids of a segment, or the bytes of a single character that no piece holds."""
-        ids = self.segments.get(text)
-        if ids is None:
+    def cached(self, text: str) -> tuple[list[int], str, str]:
+        """(ids, ids written with commas, decoded text with spaces kept) of a piece of text cut by Arrow: a segment,
+        or a stretch that still holds characters no piece has (cut further here), or one such character (its bytes)."""
+        got = self.segments.get(text)
+        if got is None:
             if len(self.segments) >= MOST_SEGMENTS:
                 self.segments.clear()
-            if text[0] in self.chars:
+            if self.chars.issuperset(text):
                 ids = self.segment(text)
             else:
-                ids = [self.byte_id[b] for b in text.encode("utf-8")]
-            self.segments[text] = ids
-        return ids
+                ids = []
+                for m in self.cut.finditer(text):
+                    ids.extend(self.segment(m.group(1)) if m.group(1) else [self.byte_id[b] for b in m.group(2).encode("utf-8")])
+            got = self.segments[text] = (ids, ",".join(map(str, ids)), self.decode(ids, first=False))
+        return got
 
     def segments_of(self, texts: pa.Array) -> pa.ListArray:
         """The segments of each normalised text (null and empty: none), cut by Arrow, in order."""
@@ -149,7 +161,7 @@ class Model:
         ids: list[int] = []
         for m in self.cut.finditer(SPACE + text.replace(" ", SPACE)):
             if m.group(1):
-                ids.extend(self.cached(m.group(1)))
+                ids.extend(self.cached(m.group(1))[0])
             else:
                 ids.extend(self.byte_id[b] for b in m.group(2).encode("utf-8"))
         return ids
@@ -238,9 +250,7 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
             owner = pc.filter(pc.list_parent_indices(parts), keep).to_numpy()
             coded = pc.filter(flat, keep).dictionary_encode()
             distinct = coded.dictionary.to_pylist()
-            ids = [own.cached(x) for x in distinct]
-            written = [",".join(map(str, x)) for x in ids]
-            spoken = [own.decode(x, first=False) for x in ids]
+            ids, written, spoken = zip(*[own.cached(x) for x in distinct]) if distinct else ((), (), ())
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
             which = coded.indices.to_numpy()
             stops = np.searchsorted(owner, np.arange(len(batch) + 1))
