@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import bpe, jaccard, langid, licenses, mainhtml, mixing, nearvec, pieces, repair, sharding, simhash, tokenids
+from vigil.llm import bpe, jaccard, langid, licenses, mainhtml, mixing, nearvec, periodic, pieces, repair, sharding, simhash, tokenids
 
 CATALOGUE = {}
 SQL = {}
@@ -139,3 +139,8 @@ def op11_pieces(spark, sf_dir):
 @query
 def op12_repair(spark, sf_dir):
     return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_periodic(spark, sf_dir):
+    return periodic.detect(table(spark, sf_dir, "documents"))
