@@ -84,15 +84,37 @@ def history_gate(df: DataFrame, hours: int = 6, rows_per_slice=None) -> DataFram
     return unsliced(base.withColumn("_enough", enough).filter("_enough = 1")).drop("_enough")
 
 
+def exact_slope(v: str, frame, hour: str = HOUR, digits: int = 4, places: int = 6) -> F.Column:
+    """Least-squares slope of ``v`` over the hour within ``frame``, from exact whole-number sums.
+
+    Hours are taken relative to the row and values as whole numbers of 10^-``digits``, so every sum is exact; the
+    quotient is rounded to ``places`` decimals (half away from zero) in whole numbers, so every engine gives the same
+    double. Rows with a null value are left out; fewer than two values or one hour only: NULL.
+    """
+    y = F.round(F.col(v) * F.lit(10 ** digits)).cast("long")
+    x = F.when(F.col(v).isNotNull(), F.col(hour).cast("long"))
+    n, sx, sy = F.count(v).over(frame), F.sum(x).over(frame), F.sum(y).over(frame)
+    sxx, sxy = F.sum(x * x).over(frame), F.sum(x * y).over(frame)
+    t = F.col(hour).cast("long")
+    rx, rxx, rxy = sx - n * t, sxx - 2 * t * sx + n * t * t, sxy - t * sy
+    num, den = n * rxy - rx * sy, n * rxx - rx * rx
+    # rounded half away from zero to ``places`` decimals with whole numbers, so no engine meets a decimal tie in doubles
+    wide = "decimal(38,0)"
+    scaled = (den * F.lit(10 ** digits)).cast(wide)
+    top = F.abs(num).cast(wide) * F.lit(2 * 10 ** places).cast(wide) + scaled
+    bottom = scaled * F.lit(2).cast(wide)
+    whole = ((top - F.pmod(top, bottom)) / bottom).cast("long")
+    return F.when(den != 0, F.signum(num) * whole.cast("double") / F.lit(float(10 ** places)))
+
+
 def rolling_by_hour(df, stats=("mean", "std", "min", "max", "slope"), vitals=VITALS, windows=(6, 12, 24)) -> DataFrame:
-    """Statistics over the newest ``W`` hours by the clock, t - W excluded; ``std`` is the sample one."""
+    """Statistics over the newest ``W`` hours by the clock, t - W excluded; ``std`` is the sample one; slopes come from
+    exact sums (``exact_slope``)."""
     base = hour_slices(df, max(windows) - 1)
-    makers = {
-        "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
-        "slope": lambda v: F.regr_slope(v, F.col(HOUR).cast("double")),
-    }
+    makers = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     added = {
-        f"{v.lower()}_{s}_{n}h": makers[s](F.col(v)).over(_hours_back(n - 1)) for n in windows for v in vitals for s in stats
+        f"{v.lower()}_{s}_{n}h": (exact_slope(v, _hours_back(n - 1)) if s == "slope" else makers[s](F.col(v)).over(_hours_back(n - 1)))
+        for n in windows for v in vitals for s in stats
     }
     return unsliced(base.withColumns(added))
 

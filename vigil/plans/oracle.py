@@ -214,12 +214,26 @@ def _hours(rows: int) -> str:
     return f"OVER (PARTITION BY patient_id ORDER BY ICULOS RANGE BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
 
 
+def _exact_slope(v: str, n: int, digits: int = 4) -> str:
+    """Least-squares slope from exact sums: hours relative to the row, values in whole 10^-digits, rounded to six
+    decimals half away from zero in whole numbers."""
+    y, x = f"CAST(round({v} * {10 ** digits}) AS BIGINT)", f"CASE WHEN {v} IS NOT NULL THEN CAST(ICULOS AS BIGINT) END"
+    cnt, sx, sy = f"count({v}) {_hours(n)}", f"sum({x}) {_hours(n)}", f"sum({y}) {_hours(n)}"
+    sxx, sxy = f"sum({x} * {x}) {_hours(n)}", f"sum({x} * {y}) {_hours(n)}"
+    t = "CAST(ICULOS AS BIGINT)"
+    rx, rxx, rxy = f"({sx} - {cnt} * {t})", f"({sxx} - 2 * {t} * {sx} + {cnt} * {t} * {t})", f"({sxy} - {t} * {sy})"
+    num, den = f"({cnt} * {rxy} - {rx} * {sy})", f"({cnt} * {rxx} - {rx} * {rx})"
+    scaled = f"CAST({den} * {10 ** digits} AS HUGEINT)"
+    whole = f"((abs(CAST({num} AS HUGEINT)) * {2 * 10 ** 6} + {scaled}) // (2 * {scaled}))"
+    return f"CASE WHEN {den} <> 0 THEN sign({num}) * CAST({whole} AS DOUBLE) / 1000000.0 END"
+
+
 SQL["rolling_by_hour"] = w(V) + "SELECT patient_id, ICULOS, event_id, " + ", ".join(
     r(f"{f}({v}) {_hours(n)}", f"{v.lower()}_{s}_{n}h")
     for n in WINDOWS for v in VITALS
     for s, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
 ) + ", " + ", ".join(
-    r(f"regr_slope({v}, CAST(ICULOS AS DOUBLE)) {_hours(n)}", f"{v.lower()}_slope_{n}h") for n in WINDOWS for v in VITALS
+    r(_exact_slope(v, n), f"{v.lower()}_slope_{n}h") for n in WINDOWS for v in VITALS
 ) + " FROM v"
 
 # ---- sources and sinks ---------------------------------------------------------------------------
