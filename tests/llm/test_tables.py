@@ -115,6 +115,14 @@ def test_shards_of_awkward_documents(spark):
     assert len(held) == 16 and max(held.values()) <= 2 * min(held.values())  # one group, larger than a shard, is cut
 
 
+@pytest.mark.parametrize("doc_id", ["NULL", "8"])
+@pytest.mark.parametrize("law", ["bytes", "rows"])
+def test_equal_rows_with_tied_ids_spread(spark, doc_id, law):
+    copies = spark.range(400).repartition(4).selectExpr(f"CAST({doc_id} AS BIGINT) AS doc_id", "'same text' AS text")
+    held = Counter(r.shard for r in sharding.shard(copies, law=law).collect())
+    assert sum(held.values()) == 400 and len(held) == 16 and max(held.values()) <= 2 * min(held.values())
+
+
 def plain_licenses(text):
     """Containment per template over the same windows, without bands."""
     words = [w for w in re.split(r"[^\w]|_", text.lower()) if w]
@@ -260,6 +268,20 @@ def test_pipeline_of_awkward_documents(spark):
         assert stage(spark, nothing(spark), TINY).count() == 0
 
 
+def test_pipeline_keeps_extra_columns_with_its_own_names(spark):
+    names = ["_lang", "_score", "_id", "_kept", "_set", "_copies", "_copy", "__id"]
+    docs = awkward(spark)
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, TINY)
+        assert kept.columns == docs.columns, name
+        rows = kept.collect()
+        assert all(r[n] == n + ("" if r.doc_id is None else str(r.doc_id)) for r in rows for n in names), name
+        docs = spark.createDataFrame(rows, docs.schema)
+    assert {r.doc_id for r in docs.collect()} and {None, 1, 2, 3, 5, 7, 10, 13}.isdisjoint({r.doc_id for r in docs.collect()})
+
+
 def test_near_duplicates_go_by_row_not_by_id(spark):
     texts = {c: " ".join(f"{c}{i}" for i in range(30)) for c in "ABCDEF"}
     rows = [

@@ -42,8 +42,9 @@ def shard(docs: DataFrame, shards: int = 16, law: str = "bytes") -> DataFrame:
     Returns doc_id, size (UTF-8 bytes and 1), tokens (words), text_crc32, law, shard, slot (0, 1, ... in each shard),
     grown_shard (null: the laws here place by size, not by key).
 
-    Equal texts share a shard, but for a group larger than a whole shard: it is cut by hash of doc_id into pieces of a
-    quarter of a shard, or sizes could not come out even. A null text has no bytes, no tokens and the checksum of the
+    Equal texts share a shard, but for a group larger than a whole shard (in bytes, or in rows under law ``rows``): it is
+    cut by hash of doc_id and a row number into pieces of a quarter of a shard, or sizes could not come out even; rows
+    of one doc_id, or of none, spread over the pieces like any others. A null text has no bytes, no tokens and the checksum of the
     empty text, with which it is grouped. Repeated rows get slots of their own. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -52,7 +53,8 @@ def shard(docs: DataFrame, shards: int = 16, law: str = "bytes") -> DataFrame:
         docs.select(
             "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("tokens"),
             F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text, F.octet_length(text)).alias("group"),
-            F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)).alias("spread"),
+            # by a row number written with the rows, so that rows of a tied or null doc_id spread like any others
+            F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 << 32)).alias("spread"),
         ),
         "shard",
     )
@@ -61,10 +63,11 @@ def shard(docs: DataFrame, shards: int = 16, law: str = "bytes") -> DataFrame:
     if not total["rows"]:
         total = {"bytes": 0, "tokens": 0, "rows": 0}
     large = " OR ".join(f"{k} > {max(1, total[k] or 0) / BINS}" for k in ("bytes", "tokens", "rows"))
-    whole = max(1, total["bytes"]) / shards
+    weighed = "rows" if law == "rows" else "bytes"  # a group is cut by the dimension that the law evens out
+    whole = max(1, total[weighed]) / shards
     # At most BINS groups can exceed a 4,096th of a dimension: the list is bounded whatever the table holds.
     heavy = base.groupBy("group").agg(*sums).filter(large).select(
-        "group", F.when(F.col("bytes") > whole, F.ceil(F.col("bytes") / whole * 4)).otherwise(1).cast("bigint").alias("pieces")
+        "group", F.when(F.col(weighed) > whole, F.ceil(F.col(weighed) / whole * 4)).otherwise(1).cast("bigint").alias("pieces")
     )
     items = written(
         base.join(F.broadcast(heavy), "group", "left")
