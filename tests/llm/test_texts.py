@@ -43,6 +43,13 @@ def test_language_of_awkward_documents(spark):
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("doc_id", ["NULL", "8"])
+def test_tied_ids_keep_every_language(spark, doc_id):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").selectExpr(f"CAST({doc_id} AS BIGINT) AS doc_id", "text", "lang")
+    langs = {r.lang for r in docs.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang").distinct().collect()}
+    assert set(langid.fit(docs).classes) == langs
+
+
 def test_training_repeats_itself():
     rng = np.random.default_rng(1)
     windows, labels = rng.integers(97, 123, (64, langid.WINDOW)).astype(np.uint8), np.arange(64) % 2

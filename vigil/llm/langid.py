@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm import units, words
@@ -18,7 +18,7 @@ from vigil.llm import units, words
 WINDOW = 192  # bytes of a window
 WIDTHS = (2, 3, 4)
 EMBED, FILTERS = 6, 12  # numbers per byte, filters per width
-SAMPLE_ROWS = 4000  # at most so many labelled texts are learned from, taken in hash order of doc_id
+SAMPLE_ROWS = 4000  # at most so many labelled texts are learned from, labels in turn, each in hash order of (doc_id, text)
 SAMPLE_WINDOWS = 4  # windows of each, spread evenly over the text
 STEPS, STEP, BATCH = 1200, 0.004, 64  # of the training: batches, step size, windows of a batch
 AT_ONCE = 1024  # windows convolved at a time
@@ -115,9 +115,11 @@ def windows_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Network | None:
-    """A network trained on at most ``SAMPLE_ROWS`` rows with text and label, taken in hash order of the id.
+    """A network trained on at most ``SAMPLE_ROWS`` rows with text and label, spread evenly over the labels.
 
-    None if there is no such row. Rare labels weigh more, so that every label counts the same in all.
+    Rows are taken in hash order of (id, text), so that tied or null ids are spread like any other; the labels take turns,
+    so that a label with few rows gives all of them before others fill the rest. None if there is no such row. Rare
+    labels weigh more, so that every label counts the same in all.
     """
     size = F.length(text_col)
     cut = F.transform(
@@ -125,13 +127,18 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         lambda k: F.substring(F.col(text_col), (k * F.greatest(size - WINDOW, F.lit(0)) / max(SAMPLE_WINDOWS - 1, 1)).cast("int") + 1, F.lit(WINDOW)),
     )
     usable = labelled.filter(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    # Hashes below the bar are about twice the rows wanted, so that few rows reach the last sort.
-    bar = min(1.0, 2 * SAMPLE_ROWS / max(usable.count(), 1)) * (1 << 32)
+    # One count per label; hashes below a label's bar are about twice the rows it may give, so few rows reach the sort.
+    counts = {r[0]: r[1] for r in usable.groupBy(label_col).count().collect()}
+    share = -(-SAMPLE_ROWS // max(len(counts), 1))
+    bars = F.create_map(*[x for label, n in counts.items() for x in (F.lit(label), F.lit(min(1.0, 2 * share / n) * (1 << 32)))])
+    place = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 32))
+    turn = Window.partitionBy("label").orderBy("place", "id", "parts")
     rows = (
-        usable.withColumn("_place", F.pmod(F.xxhash64(id_col), F.lit(1 << 32))).filter(F.col("_place") <= bar)
-        .select(F.col("_place").alias("place"), F.col(id_col).alias("id"), F.array_distinct(cut).alias("parts"), F.col(label_col).alias("label"))
-        .orderBy("place", "id", "label", "parts").limit(SAMPLE_ROWS).collect()
-    )
+        usable.select(place.alias("place"), F.col(id_col).alias("id"), F.array_distinct(cut).alias("parts"), F.col(label_col).alias("label"))
+        .filter(F.col("place") <= bars[F.col("label")])
+        .withColumn("turn", F.row_number().over(turn))
+        .orderBy("turn", "place", "label", "id", "parts").limit(SAMPLE_ROWS).collect()
+    ) if counts else []
     if not rows:
         return None
     classes = sorted({r["label"] for r in rows})
