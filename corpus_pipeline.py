@@ -18,14 +18,27 @@ from vigil.session import written
 LEAST_SCORE = 0.3  # mean probability of the best language; far below what whole texts in a known language get
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``docs`` has (case does not count): each given name, with ``_`` in front
+    until it is free. Extra columns of any name thus pass through every stage unchanged."""
+    used, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: texts that are null or without letters, and those the network cannot place.
 
     The network learns from the labelled rows among ``docs`` itself; without any label nothing can be placed.
     """
+    lang, score = fresh(docs, "_lang", "_score")
     network = langid.fit(docs.filter(~langid.held_out()))
-    told = langid.predict(docs, network, keep=tuple(docs.columns), out=("_lang", "_score"))
-    return told.filter((F.col("_lang") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    told = langid.predict(docs, network, keep=tuple(docs.columns), out=(lang, score))
+    return told.filter((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,29 +49,35 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     group: it stays once for each doc_id. Rows whose doc_id is their own are judged by it, so their texts are shuffled
     only if very many go; only rows that share a doc_id, or have none, are told apart by their sets.
     """
+    key, kept, of_set = fresh(docs, "_id", "_kept", "_set")
     found = written(jaccard.join(docs, shingle=5, percent=80, groups=True), "pipeline")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "set_id")).alias("first")
-    stay = found.filter("group IS NOT NULL").groupBy("group").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.set_id").alias("_kept"))
+    stay = found.filter("group IS NOT NULL").groupBy("group").agg(first).select(F.col("first.doc_id").alias(key), F.col("first.set_id").alias(kept))
     stay = written(stay, "pipeline")
-    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows"), F.min("set_id").alias("_kept"))
+    ids = found.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("rows"), F.min("set_id").alias(kept))
     ids = written(ids, "pipeline")
-    shared = written(ids.filter("rows > 1 OR _id IS NULL").select("_id"), "pipeline")
-    gone = written(ids.filter("rows = 1 AND _id IS NOT NULL AND _kept IS NOT NULL").join(stay, ["_id", "_kept"], "left_anti").select("_id"), "pipeline")
+    shared = written(ids.filter(F.expr("rows > 1") | F.col(key).isNull()).select(key), "pipeline")
+    alone = (F.col("rows") == 1) & F.col(key).isNotNull() & F.col(kept).isNotNull()
+    gone = written(ids.filter(alone).join(stay, [key, kept], "left_anti").select(key), "pipeline")
 
-    of_shared = docs["doc_id"].eqNullSafe(shared["_id"])
-    single = docs.join(sized(gone), docs["doc_id"] == gone["_id"], "left_anti").join(sized(shared), of_shared, "left_anti")
-    several = jaccard.with_set(docs.join(sized(shared), of_shared, "left_semi"), "_set", shingle=5)
-    best = several.join(sized(stay), several["doc_id"].eqNullSafe(stay["_id"]) & (several["_set"] == stay["_kept"]), "left_semi")
-    best = best.dropDuplicates(["doc_id", "_set"])
-    blank = several.filter("_set IS NULL").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(best.unionByName(blank).drop("_set"))
+    of_shared = docs["doc_id"].eqNullSafe(shared[key])
+    single = docs.join(sized(gone), docs["doc_id"] == gone[key], "left_anti").join(sized(shared), of_shared, "left_anti")
+    several = jaccard.with_set(docs.join(sized(shared), of_shared, "left_semi"), of_set, shingle=5)
+    best = several.join(sized(stay), several["doc_id"].eqNullSafe(stay[key]) & (several[of_set] == stay[kept]), "left_semi")
+    best = best.dropDuplicates(["doc_id", of_set])
+    blank = several.filter(F.col(of_set).isNull()).dropDuplicates(["doc_id", "text"])
+    return single.unionByName(best.unionByName(blank).drop(of_set))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and leaves out documents so that sources come near their target weights; a row for every copy."""
-    taken = mixing.mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    copied = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]))
-    return copied.withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)"))).select(*docs.columns)
+    """Repeats and leaves out documents so that sources come near their target weights; a row for every copy.
+
+    Rows that share a doc_id, or have none, all take the most copies that any of them is given.
+    """
+    key, copies, copy = fresh(docs, "_id", "_copies", "_copy")
+    taken = mixing.mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
+    copied = docs.join(taken, docs["doc_id"].eqNullSafe(taken[key]))
+    return copied.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
