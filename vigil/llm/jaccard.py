@@ -28,7 +28,8 @@ from vigil.session import written
 
 SKETCH_LONGS = 16  # the dense sketch: 1,024 bits
 HEADS = 4  # nodes of a block that its other nodes meet first, and pairs that each node is checked in first
-FLUSH = 2_000_000  # keys that a task holds before it links equal ones and passes them on
+FLUSH = 200_000  # keys that a task holds before it links equal ones and passes them on
+OUT_ROWS = 64_000  # rows of each batch handed back to Spark
 _BLOCK_SALT, _BIT_SALT, _SET_SALT = (int(x) for x in words.numbers(3, 4))
 
 
@@ -78,7 +79,7 @@ def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _local(keys: list[np.ndarray], ids: list[int]):
-    """Rows (key, sid, rep): one per distinct key with the smallest set of this task, and one for each other set."""
+    """Batches of rows (key, sid, rep): one per distinct key with the smallest set of this task, one for each other set."""
     key = np.concatenate(keys)
     sid = np.repeat(np.array(ids, dtype=np.int64), [len(k) for k in keys])
     order = np.lexsort((sid, key))
@@ -87,9 +88,11 @@ def _local(keys: list[np.ndarray], ids: list[int]):
     key, sid = key[fresh], sid[fresh]
     first = np.append(True, key[1:] != key[:-1])
     rep = sid[first][np.cumsum(first) - 1]
-    return pa.record_batch(
-        [pa.array(key.astype(np.int64)), pa.array(sid), pa.array(rep, mask=first)], ["key", "sid", "rep"]
-    )
+    for a in range(0, len(key), OUT_ROWS):
+        b = a + OUT_ROWS
+        yield pa.record_batch(
+            [pa.array(key[a:b].astype(np.int64)), pa.array(sid[a:b]), pa.array(rep[a:b], mask=first[a:b])], ["key", "sid", "rep"]
+        )
 
 
 def with_set(docs: DataFrame, name: str, shingle: int = 5) -> DataFrame:
@@ -137,10 +140,10 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80, groups: bool = Fa
                     ids.append(set_id(s))
                     held += len(k)
             if held >= FLUSH:
-                yield _local(keys, ids)
+                yield from _local(keys, ids)
                 keys, ids, held = [], [], 0
         if held:
-            yield _local(keys, ids)
+            yield from _local(keys, ids)
 
     signed = written(texts.mapInArrow(sign, "doc_id long, n long, sid long, dense array<long>"), "jaccard")
     blocks = texts.select("text").mapInArrow(keyed, "key long, sid long, rep long")
