@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from vigil.functions.rules import accepted, quarantined, whole_hours
 from vigil.operators.rolling import feature_row
 from vigil.schema import HOUR, KEY, LABEL, MODEL_DEMOGRAPHICS, PROBAS_KEPT, TIE, VITALS, record_schema
+from vigil.session import settings
 from vigil.sources.files import ISO_MICROS, by_day
 from vigil.streaming.state import add_rolled, add_streaks, rolled_order
 
@@ -80,14 +81,8 @@ def stream_settings(spark: SparkSession, partitions: int | None):
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKS}
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            spark.conf.set(k, v)
+    with settings(spark, wanted):
         yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_available(out: DataFrame, path: str, checkpoint: str, partitions=None, partition_by=(), form="parquet"):
