@@ -21,7 +21,7 @@ EMBED, FILTERS = 6, 12  # numbers per byte, filters per width
 SAMPLE_ROWS = 4000  # at most so many labelled texts are learned from, labels in turn, each in hash order of (doc_id, text)
 SAMPLE_WINDOWS = 4  # windows of each, spread evenly over the text
 STEPS, STEP, BATCH = 1200, 0.004, 64  # of the training: batches, step size, windows of a batch
-AT_ONCE = 1024  # windows convolved at a time
+AT_ONCE = 128  # windows convolved at a time; their filter scores take about 6 MB
 _LETTER = regex.compile(r"\p{L}")
 _FOLD = words._FOLD
 

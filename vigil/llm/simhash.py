@@ -24,6 +24,7 @@ from vigil.llm.cells import each_cell, in_cells, sides
 from vigil.session import written
 
 BITS = 128
+BATCH_BYTES = 1 << 19  # text that a task holds in Python at a time, with its edited form and hashes
 RADIUS, AGREEING = 3, 1  # four tables of 32-bit fronts
 _SALTS = words.numbers(2, 5)
 
@@ -85,7 +86,7 @@ def _ordered(rows):
         blank = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
         return pa.record_batch([pa.array([part], pa.int32()), pa.array([kind], pa.int32()), pa.array([text], pa.string()), ids, *blank], ["part", "kind", "text", *NAMES])
 
-    for batch in units.batches(rows, "text"):
+    for batch in units.batches(rows, "text", BATCH_BYTES):
         ids, texts = batch.column(0), batch.column(1).fill_null("").to_pylist()
         own = fingerprints(texts)
         if head:

@@ -7,7 +7,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 20  # bytes hashed at a time; a longer word lengthens its segment
+SEGMENT = 1 << 17  # bytes hashed at a time, so that the running sums take about a MB each; a longer word lengthens its segment
 _STEP = 0x9E3779B97F4A7C15
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
