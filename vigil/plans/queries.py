@@ -691,7 +691,7 @@ def board_counts(spark, sf_dir):
 def _arrivals(spark, sf_dir):
     """Hour bands of the records as JSON, handed over one after the other: yields the folder."""
     path = shared_dir(spark, "arrivals")
-    rows = inputs.vitals(spark, sf_dir).drop("second_proba")
+    rows = written(inputs.vitals(spark, sf_dir).drop("second_proba"), "arriving")
     for band in (F.col(HOUR) < 20, F.col(HOUR).between(20, 45), F.col(HOUR) > 45):
         rows.filter(band).write.mode("append").option("timestampNTZFormat", files.ISO_MICROS).json(path)
         yield path

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -15,8 +15,11 @@ from vigil.operators.rolling import feature_row
 from vigil.schema import HOUR, KEY, LABEL, MODEL_DEMOGRAPHICS, PROBAS_KEPT, TIE, VITALS, record_schema
 from vigil.session import settings
 from vigil.sources.files import ISO_MICROS, by_day
-from vigil.streaming.state import add_rolled, add_streaks, rolled_order
+from vigil.streaming.state import BUCKET, add_rolled, add_streaks, rolled_order
 
+#: Patients share so many groups of state: a call works through all rows of a group at once, and a group holds a
+#: two-thousandth of the batch. The number is part of what a checkpoint holds.
+BUCKETS = 2048
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -49,13 +52,18 @@ def refused(records: DataFrame) -> DataFrame:
     return quarantined(records)
 
 
+def bucketed(rows: DataFrame) -> GroupedData:
+    """The rows by the group of state their patient belongs to."""
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(KEY), F.lit(BUCKETS))).groupBy(BUCKET)
+
+
 def stream_features(records: DataFrame, extra=(TIE,)) -> DataFrame:
     """The 131 features of each arriving record."""
     needed = [KEY, HOUR, TIE, LABEL, "WBC", *VITALS, *MODEL_DEMOGRAPHICS]
     lean = records.select(*needed)
     schema = T.StructType([*lean.schema.fields, T.StructField("rolled", T.ArrayType(T.DoubleType()))])
-    rolled = lean.groupBy(KEY).applyInPandasWithState(
-        add_rolled, schema, "values array<double>", "append", GroupStateTimeout.NoTimeout
+    rolled = bucketed(lean).applyInPandasWithState(
+        add_rolled, schema, "patients array<string>, held array<int>, values binary", "append", GroupStateTimeout.NoTimeout
     )
     columns = [f"nanvl(rolled[{i}], NULL) AS {name}" for i, name in enumerate(rolled_order())]
     return feature_row(rolled.selectExpr(*lean.columns, *columns), extra)
@@ -69,9 +77,9 @@ def stream_decisions(scored: DataFrame, threshold=0.05, min_consecutive=6, warmu
         [*lean.schema.fields, T.StructField("streak", T.IntegerType()), T.StructField("muted", T.BooleanType()),
          T.StructField("alarm", T.BooleanType())]
     )
-    return lean.groupBy(KEY).applyInPandasWithState(
-        add_streaks(threshold, min_consecutive, warmup_hours, history), schema, "streak int", "append",
-        GroupStateTimeout.NoTimeout,
+    return bucketed(lean).applyInPandasWithState(
+        add_streaks(threshold, min_consecutive, warmup_hours, history), schema, "patients array<string>, streaks array<int>",
+        "append", GroupStateTimeout.NoTimeout,
     )
 
 
