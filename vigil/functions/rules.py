@@ -101,8 +101,9 @@ def above(proba: Column | str, threshold: float | Column) -> Column:
 def feature_map(columns=None) -> Column:
     """The request form of a feature row: name to finite number, absent when NULL."""
     names = columns or [*feature_names(), *MODEL_DEMOGRAPHICS]
-    pairs = F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[finite(c) for c in names]))
-    return F.map_filter(pairs, lambda _, v: v.isNotNull())
+    values = [finite(c) for c in names]
+    keys = [F.when(v.isNotNull(), F.lit(c)) for c, v in zip(names, values)]
+    return F.map_from_arrays(F.array_compact(F.array(*keys)), F.array_compact(F.array(*values)))
 
 
 def from_feature_map(df: DataFrame, column: str, names) -> DataFrame:

@@ -30,8 +30,16 @@ def query(function):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of digits, without negative zero, so that engines agree."""
-    return df.selectExpr(*[f"round(`{c}`, {digits}) + 0D AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes])
+    """Doubles to a fixed number of digits, without negative zero, so that engines agree.
+
+    ``round`` goes through the decimal digits of each value; values clear of a tie and small enough for a product that is
+    exact to a thousandth are rounded in doubles instead, to the same result."""
+    def exact(c):
+        scaled = f"`{c}` * 1e{digits}D"
+        clear = f"abs(`{c}`) < 1e{12 - digits}D AND abs(abs({scaled} - rint({scaled})) - 0.5D) > 1e-3D"
+        return f"CASE WHEN {clear} THEN rint({scaled}) / 1e{digits}D ELSE round(`{c}`, {digits}) END + 0D AS `{c}`"
+
+    return df.selectExpr(*[exact(c) if t == "double" else f"`{c}`" for c, t in df.dtypes])
 
 
 def iso(df: DataFrame, *columns) -> DataFrame:
