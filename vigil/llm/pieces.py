@@ -51,6 +51,12 @@ class Model:
                 self.score[p] = sp.get_score(i)
         self.bytes_of = {i: bytes([b]) for b, i in self.byte_id.items()}
         self.chars = {c for p in self.id_of for c in p if c in self.id_of}
+        #: What each id says: None for a byte, nothing for a control id.
+        self.spoken = [
+            None if i in self.bytes_of else " ⁇ " if i == self.unknown else p.replace(SPACE, " ") if p in self.id_of else ""
+            for i, p in enumerate(self.piece)
+        ]
+        self.written = [str(i) for i in range(self.size)]
         known = "".join(regex.escape(c) for c in sorted(self.chars - {SPACE}))
         self.cut = regex.compile(f"({SPACE}*[{known}]+|{SPACE}+)|(.)", regex.DOTALL)
         ascii_unknown = "".join(f"\\x{{{c:X}}}" for c in range(128) if chr(c) not in self.chars)
@@ -137,7 +143,7 @@ class Model:
                 ids = []
                 for m in self.cut.finditer(text):
                     ids.extend(self.segment(m.group(1)) if m.group(1) else [self.byte_id[b] for b in m.group(2).encode("utf-8")])
-            got = self.segments[text] = (ids, ",".join(map(str, ids)), self.decode(ids, first=False))
+            got = self.segments[text] = (ids, ",".join([self.written[i] for i in ids]), self.decode(ids, first=False))
         return got
 
     def segments_of(self, texts: pa.Array) -> pa.ListArray:
@@ -169,22 +175,23 @@ class Model:
     def decode(self, ids, first: bool = True) -> str:
         """The text of ids: pieces with ``▁`` as space, runs of byte pieces as UTF-8 (each bad byte one U+FFFD), the
         leading space of the first piece dropped; control ids give nothing, the unknown id gives U+2047."""
-        out, run = [], bytearray()
-        for k, i in enumerate(ids):
-            if i in self.bytes_of:
+        out = [self.spoken[i] for i in ids]
+        if first and len(ids) and ids[0] != self.unknown and out[0] and out[0].startswith(" "):
+            out[0] = out[0][1:]
+        if None not in out:
+            return "".join(out)
+        said, run = [], bytearray()
+        for i, text in zip(ids, out):
+            if text is None:
                 run += self.bytes_of[i]
                 continue
             if run:
-                out.append(_bytes_text(bytes(run)))
+                said.append(_bytes_text(bytes(run)))
                 run = bytearray()
-            if i == self.unknown:
-                out.append(" ⁇ ")
-            elif self.piece[i] in self.id_of:
-                p = self.piece[i].replace(SPACE, " ")
-                out.append(p[1:] if first and k == 0 and p.startswith(" ") else p)
+            said.append(text)
         if run:
-            out.append(_bytes_text(bytes(run)))
-        return "".join(out)
+            said.append(_bytes_text(bytes(run)))
+        return "".join(said)
 
 
 def _bytes_text(data: bytes) -> str:

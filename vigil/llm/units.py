@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,12 +91,11 @@ class Known:
             view = memoryview(data)
             found = self.encode([bytes(view[begins[i]:ends[i]]) for i in first[new]])
             lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            ids = np.fromiter((x for ids in found for x in ids), dtype=np.int32, count=int(lengths.sum()))
-            keys = np.concatenate([self.keys, distinct[new]])
-            order = np.argsort(keys, kind="stable")
-            self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(lengths) - lengths])[order]
-            self.lengths = np.concatenate([self.lengths, lengths])[order]
-            self.ids, self.keys = np.concatenate([self.ids, ids]), keys[order]
+            ids = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
+            into = np.searchsorted(self.keys, distinct[new])  # both are in order
+            self.begins = np.insert(self.begins, into, len(self.ids) + np.cumsum(lengths) - lengths)
+            self.lengths = np.insert(self.lengths, into, lengths)
+            self.ids, self.keys = np.concatenate([self.ids, ids]), np.insert(self.keys, into, distinct[new])
             at = np.searchsorted(self.keys, distinct)
         return at[which]
 
