@@ -33,6 +33,24 @@ def test_psv_names_and_missing(spark, tmp_path):
     assert [r[0] for r in top.select("patient_id").distinct().collect()] == ["p000009"]
 
 
+def test_many_patients_take_one_file_each_and_few_listing_tasks(spark, tmp_path):
+    n, path = 2 * files.LISTING_TASKS, str(tmp_path / "many")
+    rows = spark.range(n).selectExpr("concat('p', id) AS patient_id", "*")
+    rows = rows.select("patient_id", *[F.lit(1.0).cast(f.dataType).alias(f.name) for f in psv_schema().fields])
+    files.write_psv(rows, path)
+    written = [p for p in (tmp_path / "many").rglob("*") if p.is_file() and p.parent.name.startswith("patient_id=")]
+    assert len(written) == n and all(p.suffix == ".csv" for p in written)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        df = files.read_psv(spark, path, pattern="*.csv", id_from="folder")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) <= files.LISTING_TASKS
+    assert df.select("patient_id").distinct().count() == n
+
+
 def test_splits_on_disk(spark, vitals, tmp_path):
     path = str(tmp_path / "splits")
     split = labels.patient_split(vitals)
