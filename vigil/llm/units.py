@@ -88,17 +88,22 @@ class Known:
         at[at == len(self.keys)] = 0
         new = self.keys[at] != distinct if len(self.keys) else np.ones(len(distinct), dtype=bool)
         if new.any():
-            view = memoryview(data)
-            found = self.encode([bytes(view[begins[i]:ends[i]]) for i in first[new]])
-            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            ids = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
+            ids, starts, lengths = self.encoded(data, begins[first[new]], ends[first[new]])
             into = np.searchsorted(self.keys, distinct[new])  # both are in order
-            self.begins = np.insert(self.begins, into, len(self.ids) + np.cumsum(lengths) - lengths)
+            self.begins = np.insert(self.begins, into, len(self.ids) + starts)
             self.lengths = np.insert(self.lengths, into, lengths)
             self.ids, self.keys = np.concatenate([self.ids, ids]), np.insert(self.keys, into, distinct[new])
             at = np.searchsorted(self.keys, distinct)
         return at[which]
 
+    def encoded(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths): unit i has ids[starts[i]:starts[i] + lengths[i]]."""
+        view = memoryview(data)
+        found = self.encode([bytes(view[a:b]) for a, b in zip(begins.tolist(), ends.tolist())])
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        ids = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
+        return ids, np.cumsum(lengths) - lengths, lengths
+
 
 def hashed(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of stretches of bytes that follow each other."""
