@@ -4,7 +4,7 @@ import tracemalloc
 
 import numpy as np
 
-from vigil.llm import words
+from vigil.llm import bpe, pieces, tokenids, units, words
 
 
 def test_word_hashes_take_little_beside_the_text():
@@ -28,3 +28,20 @@ def test_hashes_do_not_depend_on_segments(monkeypatch):
     monkeypatch.setattr(words, "SEGMENT", 512)
     cut = words.word_hashes(data, starts)
     assert np.array_equal(whole[0], cut[0]) and np.array_equal(whole[1], cut[1])
+
+
+def test_a_worker_gives_back_what_earlier_steps_keep():
+    made = []
+
+    def build(key):
+        made.append(key)
+        return [key]
+
+    keep = units.per_worker(build)
+    try:
+        assert keep(1) is keep(1) and made == [1]
+        units.forget()
+        assert keep(1) == [1] and made == [1, 1]
+    finally:
+        units._PER_WORKER.remove(keep)
+    assert {bpe.encoder, tokenids.library_units, pieces.model} <= set(units._PER_WORKER)

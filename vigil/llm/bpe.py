@@ -10,7 +10,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -148,7 +147,7 @@ class Encoder:
         return [[i for p in found for i in ([special[p]] if p in special else self.pieces[p])] for found in split]
 
 
-@lru_cache(maxsize=2)
+@units.per_worker
 def encoder(path: str) -> Encoder:
     return Encoder(path)
 

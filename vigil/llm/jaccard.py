@@ -24,12 +24,14 @@ from pyspark.sql import types as T
 
 from vigil.llm import units, words
 from vigil.llm.components import components, sized
-from vigil.session import written
+from vigil.session import settings, written
 
 SKETCH_LONGS = 16  # the dense sketch: 1,024 bits
 HEADS = 4  # nodes of a block that its other nodes meet first, and pairs that each node is checked in first
 FLUSH = 200_000  # keys that a task holds before it links equal ones and passes them on
 OUT_ROWS = 64_000  # rows of each batch handed back to Spark
+TEXT_BYTES = 1 << 20  # text whose sets are made at a time
+IN_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}  # texts that Spark hands over at a time
 _BLOCK_SALT, _BIT_SALT, _SET_SALT = (int(x) for x in words.numbers(3, 4))
 
 
@@ -98,7 +100,8 @@ def _local(keys: list[np.ndarray], ids: list[int]):
 def with_set(docs: DataFrame, name: str, shingle: int = 5) -> DataFrame:
     """``docs`` with the id of each text's shingle set in column ``name``; null for a text without shingles."""
     def run(rows):
-        for batch in units.batches(rows, "text"):
+        units.forget()
+        for batch in units.batches(rows, "text", TEXT_BYTES):
             found = sets(batch.column(batch.schema.get_field_index("text")), shingle)
             sid = np.array([set_id(s) for s in found], dtype=np.int64)
             none = np.array([not len(s) for s in found], dtype=bool)
@@ -121,7 +124,8 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80, groups: bool = Fa
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def sign(rows):
-        for batch in units.batches(rows, "text"):
+        units.forget()
+        for batch in units.batches(rows, "text", TEXT_BYTES):
             found = sets(batch.column(1), shingle)
             n = np.array([len(s) for s in found], dtype=np.int64)
             sid = np.array([set_id(s) for s in found], dtype=np.int64)
@@ -131,8 +135,9 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80, groups: bool = Fa
             )
 
     def keyed(rows):
+        units.forget()
         keys, ids, held = [], [], 0
-        for batch in units.batches(rows, "text"):
+        for batch in units.batches(rows, "text", TEXT_BYTES):
             for s in sets(batch.column(0), shingle):
                 k = block_keys(s, percent)
                 if len(k):
@@ -145,13 +150,15 @@ def join(docs: DataFrame, shingle: int = 5, percent: int = 80, groups: bool = Fa
         if held:
             yield from _local(keys, ids)
 
-    signed = written(texts.mapInArrow(sign, "doc_id long, n long, sid long, dense array<long>"), "jaccard")
+    with settings(docs.sparkSession, IN_ROWS):
+        signed = written(texts.mapInArrow(sign, "doc_id long, n long, sid long, dense array<long>"), "jaccard")
     blocks = texts.select("text").mapInArrow(keyed, "key long, sid long, rep long")
     # Firsts of the tasks are given the first of all; the other rows have a partner and are dealt out by themselves.
     alone = F.when(F.col("rep").isNotNull(), F.xxhash64("sid", "rep")).otherwise(0)
     whole = Window.partitionBy("key", alone).orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
     shared = blocks.withColumn("rep", F.coalesce("rep", F.first("sid").over(whole))).filter("rep <> sid")
-    shared = written(shared, "jaccard")
+    with settings(docs.sparkSession, IN_ROWS):
+        shared = written(shared, "jaccard")
     nodes = written(signed.filter("sid IS NOT NULL").groupBy("sid").agg(
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.first("dense").alias("dense")
     ), "jaccard")
@@ -188,7 +195,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int,
     named, unnamed = wanted.filter("doc_id IS NOT NULL"), wanted.filter("doc_id IS NULL").select("sid")
 
     def tokens(rows):
-        for batch in units.batches(rows, "text"):
+        units.forget()
+        for batch in units.batches(rows, "text", TEXT_BYTES):
             meant, found = batch.column(0).to_pylist(), sets(batch.column(1), shingle)
             kept = [(i, s.view(np.int64)) for i, s in zip(meant, found) if set_id(s) == i]
             yield pa.record_batch(
@@ -201,7 +209,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int,
     if not unnamed.isEmpty():  # sets of which no row has a doc_id are found by the set itself
         marked = with_set(texts.filter("doc_id IS NULL").select("text"), "sid", shingle).join(sized(unnamed), "sid", "left_semi")
         found = found.unionByName(marked.select("sid", "text").dropDuplicates(["sid"]).mapInArrow(tokens, "sid long, tokens array<long>"))
-    found = written(found, "jaccard")
+    with settings(pairs.sparkSession, IN_ROWS):
+        found = written(found, "jaccard")
     left = found.select(F.col("sid").alias("a"), F.col("tokens").alias("of_a"))
     right = found.select(F.col("sid").alias("b"), F.col("tokens").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b"))

@@ -162,6 +162,7 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text", ke
     names, sent_columns = [*keep, *out], [*keep, *([] if text_col in keep else [text_col])]
 
     def run(rows):
+        units.forget()
         net = sent.value
         for batch in units.batches(rows, text_col, 1 << 20):
             texts = batch.column(sent_columns.index(text_col))

@@ -15,7 +15,6 @@ backwards from the end of the segment. Characters no piece holds become their UT
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -211,7 +210,7 @@ def _bytes_text(data: bytes) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
+@units.per_worker
 def model(path: str) -> Model:
     return Model(path)
 

@@ -11,7 +11,6 @@ its part, doc ids, ids per document, words and block offsets. Parquet is only th
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -171,7 +170,7 @@ class Joined(units.Known):
         return np.concatenate([*found, ids]), starts, lengths
 
 
-@lru_cache(maxsize=2)
+@units.per_worker
 def library_units(path: str) -> units.Known:
     """The ids that the tokenizers library gives to units, remembered for the life of the worker."""
     import os

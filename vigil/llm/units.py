@@ -7,8 +7,11 @@ ASCII white space; such texts are one unit each.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -21,6 +24,25 @@ from vigil.llm import words
 _OTHER_WHITE = "[" + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]"
 _MIXED = re.compile(rf"{_OTHER_WHITE}[\t-\r ]|[\t-\r ]{_OTHER_WHITE}")
 BATCH_BYTES = 4 << 20
+_PER_WORKER: list = []  # functions whose results stay for the life of a Python worker
+
+
+def per_worker(build):
+    """``build`` with its results kept for the life of the Python worker, or until a step that needs none of them begins."""
+    kept = lru_cache(maxsize=2)(build)
+    _PER_WORKER.append(kept)
+    return kept
+
+
+def forget() -> None:
+    """Gives back what earlier steps keep in this Python worker, which Spark hands from step to step."""
+    for kept in _PER_WORKER:
+        kept.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries hold freed memory back
+    if trim:
+        trim(0)
 
 
 def batches(rows, column: str, limit: int = BATCH_BYTES):
