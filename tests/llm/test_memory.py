@@ -3,8 +3,10 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from vigil.llm import bpe, pieces, tokenids, units, words
+from vigil.llm.queries import tokenizer_path
 
 
 def test_word_hashes_take_little_beside_the_text():
@@ -45,3 +47,42 @@ def test_a_worker_gives_back_what_earlier_steps_keep():
     finally:
         units._PER_WORKER.remove(keep)
     assert {bpe.encoder, tokenids.library_units, pieces.model} <= set(units._PER_WORKER)
+
+
+def digested(texts):
+    """What a worker keeps, and holds at most, while it digests ``texts``; the encoder is there before."""
+    class Rows:
+        dtypes = [("doc_id", "bigint"), ("text", "string")]
+        select = lambda self, *names: self
+        mapInArrow = lambda self, run, schema: run
+
+    run = bpe.digest(Rows(), tokenizer_path())
+    batch = lambda x: pa.record_batch([pa.array(range(len(x))), pa.array(x)], ["doc_id", "text"])
+    units.forget()
+    list(run(iter([batch(["first"])])))
+    rows = batch(texts)
+    tracemalloc.start()
+    try:
+        list(run(iter([rows])))
+        return tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+        units.forget()
+
+
+def test_a_worker_that_digests_tokens_takes_little():
+    texts = [" ".join(f"{chr(97 + k % 26)}q{k * 1000 + i}" for i in range(1000)) for k in range(250)]
+    kept, peak = digested(texts)
+    assert kept < 30e6 and peak < 130e6
+
+
+def test_memory_goes_back_before_a_worker_builds(monkeypatch):
+    calls = []
+    monkeypatch.setattr(units, "release", lambda: calls.append("release"))
+    keep = units.per_worker(lambda key: calls.append("build"))
+    try:
+        keep(1)
+        keep(1)
+    finally:
+        units._PER_WORKER.remove(keep)
+    assert calls == ["release", "build"]

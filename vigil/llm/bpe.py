@@ -23,7 +23,8 @@ PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-MOST_PIECES = 400_000  # pieces a worker remembers before it starts anew
+MOST_PIECES, MOST_UNITS = 100_000, 750_000  # pieces and units a worker remembers before it starts anew
+DIGEST_BYTES = 1 << 20  # of text that a worker digests at a time
 
 
 def byte_letters() -> dict[str, int]:
@@ -62,13 +63,13 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where(self.codes[at] == code, self.rank_of_code[at], -1)
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each piece."""
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as the bytes of 32-bit numbers."""
         lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         symbol = self.of_byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
         n = len(symbol)
         if not n:
-            return [[] for _ in pieces]
+            return [b"" for _ in pieces]
         ends = np.cumsum(lengths)
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
         after[ends[lengths > 0] - 1] = -1
@@ -111,9 +112,9 @@ class Vocabulary:
         kept = np.add.reduceat(alive, (ends - lengths)[lengths > 0], dtype=np.int64)
         counts = np.zeros(len(pieces), dtype=np.int64)
         counts[lengths > 0] = kept
-        ids = symbol[alive].tolist()
-        stops = np.cumsum(counts).tolist()
-        return [ids[b - c:b] for b, c in zip(stops, counts.tolist())]
+        ids = symbol[alive].astype(np.int32).tobytes()
+        stops = (4 * np.cumsum(counts)).tolist()
+        return [ids[a:b] for a, b in zip([0, *stops], stops)]
 
 
 def _alternate(p: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -128,23 +129,31 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.pieces: dict[str, list[int]] = {}
-        self.known = units.Known(self.encode)
-
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
-        special = self.vocabulary.special
+        self.special = {token: np.int32(i).tobytes() for token, i in self.vocabulary.special.items()}
+        self.pieces: dict[str, bytes] = dict(self.special)
+        self.known = units.Units(self.encode, MOST_UNITS)
+        most = max(self.vocabulary.bytes_of) + 1
+        self.written = pa.array([str(i).encode() for i in range(most)], pa.large_binary())
+        self.spoken = pa.array([self.vocabulary.bytes_of.get(i, b"") for i in range(most)], pa.large_binary())
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        special = self.special
         split = []
         for text in texts:
             text = text.decode("utf-8")
-            found = []
-            for part in self.vocabulary.special_pattern.split(text) if special else [text]:
-                found += [part] if part in special else PATTERN.findall(part)
-            split.append(found)
+            if special:
+                found = []
+                for part in self.vocabulary.special_pattern.split(text):
+                    found += [part] if part in special else PATTERN.findall(part)
+            else:
+                found = PATTERN.findall(text)
+            split.append(tuple(found))
         if len(self.pieces) > MOST_PIECES:
-            self.pieces = {}
-        new = list({p for found in split for p in found} - self.pieces.keys() - special.keys())
+            self.pieces = dict(self.special)
+        new = list({p for found in split for p in found} - self.pieces.keys())
         self.pieces.update(zip(new, self.vocabulary.merge([p.encode("utf-8") for p in new])))
-        return [[i for p in found for i in ([special[p]] if p in special else self.pieces[p])] for found in split]
+        ids = self.pieces
+        return [b"".join([ids[p] for p in found]) for found in split]
 
 
 @units.per_worker
@@ -193,23 +202,18 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
     """
     def run(rows):
         own = encoder(path)
-        known, bytes_of = own.known, own.vocabulary.bytes_of
-        for batch in units.batches(rows, "text"):
+        known = own.known
+        for batch in units.batches(rows, "text", DIGEST_BYTES):
             data, begins, ends, firsts = units.split(batch.column(1))
             at = known.places(data, begins, ends)
-            used, which = np.unique(at, return_inverse=True)
-            ids = [known.ids[b:b + n].tolist() for b, n in zip(known.begins[used].tolist(), known.lengths[used].tolist())]
-            written = [",".join(map(str, x)) for x in ids]
-            decoded = [b"".join([bytes_of[i] for i in x]) for x in ids]
-            counts = np.append(0, np.cumsum(known.lengths[at]))
-            which, stops = which.tolist(), firsts.tolist()
-            id_digests, text_digests = [], []
-            for a, b in zip(stops, stops[1:]):
-                id_digests.append(hashlib.sha256(",".join([written[i] for i in which[a:b]]).encode()).hexdigest())
-                text = b"".join([decoded[i] for i in which[a:b]]).decode("utf-8", "replace")
-                text_digests.append(hashlib.sha256(text.encode()).hexdigest())
+            lengths = known.lengths[at]
+            ids = units.ragged(known.ids, known.begins[at], lengths)
+            stops = np.append(0, np.cumsum(lengths))[firsts]
+            id_digests = [hashlib.sha256(x).hexdigest() for x in units.joined(own.written, ids, stops, b",")]
+            texts = units.joined(own.spoken, ids, stops, b"")
+            text_digests = [hashlib.sha256(str(x, "utf-8", "replace").encode()).hexdigest() for x in texts]
             yield pa.record_batch(
-                [batch.column(0), pa.array(np.diff(counts[firsts]), pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
+                [batch.column(0), pa.array(np.diff(stops), pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -11,7 +11,7 @@ import ctypes
 import gc
 import re
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, wraps
 from itertools import chain
 
 import numpy as np
@@ -28,8 +28,15 @@ _PER_WORKER: list = []  # functions whose results stay for the life of a Python
 
 
 def per_worker(build):
-    """``build`` with its results kept for the life of the Python worker, or until a step that needs none of them begins."""
-    kept = lru_cache(maxsize=2)(build)
+    """``build`` with its results kept for the life of the Python worker, or until a step that needs none of them begins.
+
+    Before it builds, memory that earlier steps freed but the worker still holds goes back."""
+    @lru_cache(maxsize=2)
+    @wraps(build)
+    def kept(*args):
+        release()
+        return build(*args)
+
     _PER_WORKER.append(kept)
     return kept
 
@@ -38,6 +45,11 @@ def forget() -> None:
     """Gives back what earlier steps keep in this Python worker, which Spark hands from step to step."""
     for kept in _PER_WORKER:
         kept.cache_clear()
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries hold freed memory back
@@ -84,6 +96,16 @@ def ragged(values: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[np.arange(total, dtype=np.int64) + np.repeat(begins - (ends - lengths), lengths)]
 
 
+def joined(values: pa.Array, at: np.ndarray, stops: np.ndarray, separator: bytes) -> list[memoryview]:
+    """Bytes of each row: row i has ``values`` (large_binary) at at[stops[i]:stops[i + 1]], joined by ``separator``."""
+    rows = pa.LargeListArray.from_arrays(pa.array(stops, pa.int64()), values.take(pa.array(at)))
+    out = pc.binary_join(rows, pa.scalar(separator, pa.large_binary()))
+    _, offsets, data = out.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[out.offset:out.offset + len(out) + 1].tolist()
+    view = memoryview(data) if data is not None else memoryview(b"")
+    return [view[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class Known:
     """Token ids of units seen so far, by a 64-bit hash of their bytes; starts anew above ``most`` units.
 
@@ -127,6 +149,16 @@ class Known:
         return ids, np.cumsum(lengths) - lengths, lengths
 
 
+class Units(Known):
+    """Ids of units, which ``encode`` gives as the bytes of 32-bit numbers: they take little memory and no garbage collection."""
+
+    def encoded(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        view = memoryview(data)
+        found = self.encode([bytes(view[a:b]) for a, b in zip(begins.tolist(), ends.tolist())])
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        return np.frombuffer(b"".join(found), dtype=np.int32), np.cumsum(lengths) - lengths, lengths
+
+
 def hashed(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of stretches of bytes that follow each other."""
     out = np.empty(len(begins), dtype=np.uint64)
