@@ -86,3 +86,12 @@ def test_memory_goes_back_before_a_worker_builds(monkeypatch):
     finally:
         units._PER_WORKER.remove(keep)
     assert calls == ["release", "build"]
+
+
+def test_long_units_fill_a_lookup_by_their_ids():
+    known = units.Known(lambda texts: [list(t) for t in texts], most=100)
+    for k in range(50):
+        data, begins, ends, firsts = units.split(pa.array([chr(97 + k % 26) * 500 + str(k)]))
+        at = known.places(data, begins, ends)
+        assert known.ids[known.begins[at[0]]:][:known.lengths[at[0]]].tolist() == data.tolist()
+        assert len(known.ids) <= units.IDS_A_UNIT * 100 + 502

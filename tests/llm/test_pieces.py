@@ -1,7 +1,9 @@
 """SentencePiece encoding by the prefix table against the library and the model's plain merge rule."""
 
 import hashlib
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from conftest import TINY
@@ -57,3 +59,24 @@ def test_round_trip_of_ids(spark, library):
     encoded = pieces.encode_texts(awkward(spark), piece_model_path())
     back = {(r.doc_id, r.text) for r in pieces.decode_ids(encoded, piece_model_path()).collect()}
     assert back == {(d[0], library.decode(library.encode(d[1] or ""))) for d in AWKWARD}
+
+
+def test_units_of_a_batch_equal_the_library(library):
+    texts = [*EDGES, None, "a ▁ b", "▁ a ▁", "x  ▁▁ y", "tail ", "one\ntwo\x00 three", "\n", " \n ", "é😀\n ", "\ue000 a\ue000b", "same words same words"]
+    model = pieces.Model(piece_model_path())
+    for column in (pa.array(texts), pa.array(["cut off", *texts]).slice(1)):
+        ids, stops = model.ids_of(column)
+        assert [ids[a:b].tolist() for a, b in zip(stops, stops[1:])] == [library.encode(t or "") for t in texts]
+
+
+def test_remembered_words_take_little_memory():
+    model = pieces.Model(piece_model_path())
+    model.ids_of(pa.array(["word"]))
+    words = 40_000
+    tracemalloc.start()
+    try:
+        model.ids_of(pa.array([" ".join(f"w{i}" for i in range(words))]))
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert kept < 150 * words

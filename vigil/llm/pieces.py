@@ -9,7 +9,8 @@ found by an Aho-Corasick automaton of all pieces; the last token is the candidat
 segment (and ``t`` encodes to itself) or whose predecessor, the last token stored for the prefix before ``t``, is
 compatible with ``t``: the pair's text encodes to exactly those two tokens. Pair tests are answered by the model's own
 merge rule (highest score first, leftmost on ties) on the short text of two pieces and remembered. The ids are read
-backwards from the end of the segment. Characters no piece holds become their UTF-8 bytes (byte fallback).
+backwards from the end of the segment. Characters no piece holds become their UTF-8 bytes (byte fallback). A worker
+remembers ids by units: a run of spaces and what follows it, which is one segment or a few.
 """
 
 from __future__ import annotations
@@ -22,11 +23,10 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from vigil.llm import units
+from vigil.llm import units, words
 
 SPACE = "▁"
-MARK = "\ue000"  # cuts segments in Arrow; texts that hold it are cut in Python
-MOST_SEGMENTS = 400_000  # segments a worker remembers before it starts anew
+MOST_SEGMENTS, MOST_PAIRS = 1_000_000, 1_000_000  # units and pair tests a worker remembers before it starts anew
 
 
 class Model:
@@ -55,13 +55,10 @@ class Model:
             None if i in self.bytes_of else " ⁇ " if i == self.unknown else p.replace(SPACE, " ") if p in self.id_of else ""
             for i, p in enumerate(self.piece)
         ]
-        self.written = [str(i) for i in range(self.size)]
         known = "".join(regex.escape(c) for c in sorted(self.chars - {SPACE}))
         self.cut = regex.compile(f"({SPACE}*[{known}]+|{SPACE}+)|(.)", regex.DOTALL)
-        ascii_unknown = "".join(f"\\x{{{c:X}}}" for c in range(128) if chr(c) not in self.chars)
-        #: Arrow (RE2) patterns that put MARK at cuts: before a ``▁`` after another character, around unknown ASCII ones.
-        #: A segment that still holds an unknown character is cut further in Python.
-        self.arrow_cuts = [(f"([^{SPACE}]){SPACE}", f"\\1{MARK}{SPACE}"), (f"([{ascii_unknown}])", f"{MARK}\\1{MARK}")]
+        #: Bytes that are a character no piece holds.
+        self.cut_byte = np.array([c < 128 and chr(c) not in self.chars and c != 0x20 for c in range(256)])
         self.whole = {i for p, i in self.id_of.items() if self.merged(p) == [i]}
         self.automaton = ahocorasick.Automaton()
         for p, i in self.id_of.items():
@@ -69,7 +66,10 @@ class Model:
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.length = [len(p) for p in self.piece]
-        self.segments: dict[str, list[int]] = {}
+        self.known = units.Units(self.unit_ids, MOST_SEGMENTS)
+        #: For each id: its digits, and the bytes it says.
+        self.digits = pa.array([str(i).encode() for i in range(self.size)], pa.large_binary())
+        self.said = pa.array([self.bytes_of[i] if x is None else x.encode() for i, x in enumerate(self.spoken)], pa.large_binary())
 
     def merged(self, text: str) -> list[int]:
         """The model's own rule on a short text of known characters: merge the adjacent pair whose joined piece scores
@@ -94,6 +94,8 @@ class Model:
         key = a << 16 | b
         known = self.pairs.get(key)
         if known is None:
+            if len(self.pairs) >= MOST_PAIRS:
+                self.pairs.clear()
             known = self.pairs[key] = self.merged(self.piece[a] + self.piece[b]) == [a, b]
         return known
 
@@ -129,47 +131,55 @@ class Model:
             at -= self.length[i]
         return ids[::-1]
 
-    def cached(self, text: str) -> tuple[list[int], str, str]:
-        """(ids, ids written with commas, decoded text with spaces kept) of a piece of text cut by Arrow: a segment,
-        or a stretch that still holds characters no piece has (cut further here), or one such character (its bytes)."""
-        got = self.segments.get(text)
-        if got is None:
-            if len(self.segments) >= MOST_SEGMENTS:
-                self.segments.clear()
-            if self.chars.issuperset(text):
-                ids = self.segment(text)
+    def unit_ids(self, found: list[bytes]) -> list[bytes]:
+        """The ids of each unit (its spaces are ``▁``), as the bytes of 32-bit numbers."""
+        out = []
+        for unit in found:
+            text = str(unit, "utf-8").replace(" ", SPACE)
+            out.append(np.array(self.segment(text) if self.chars.issuperset(text) else self.segments(text), np.int32).tobytes())
+        return out
+
+    def segments(self, text: str) -> list[int]:
+        """Ids of a normalised text, segment by segment; a character no piece holds gives its bytes."""
+        ids: list[int] = []
+        for m in self.cut.finditer(text):
+            if m.group(1):
+                ids.extend(self.segment(m.group(1)))
             else:
-                ids = []
-                for m in self.cut.finditer(text):
-                    ids.extend(self.segment(m.group(1)) if m.group(1) else [self.byte_id[b] for b in m.group(2).encode("utf-8")])
-            got = self.segments[text] = (ids, ",".join([self.written[i] for i in ids]), self.decode(ids, first=False))
-        return got
-
-    def segments_of(self, texts: pa.Array) -> pa.ListArray:
-        """The segments of each normalised text (null and empty: none), cut by Arrow, in order."""
+                ids.extend(self.byte_id[b] for b in m.group(2).encode("utf-8"))
+        return ids
+
+    def split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, begins, ends, firsts): units of all texts in order, with the leading space; text i has units
+        firsts[i]:firsts[i + 1]. A unit is a run of spaces and the bytes up to the next one, or a character of one byte
+        that no piece holds. A text that holds ``▁`` itself is one unit."""
         plain = pc.fill_null(texts.cast(pa.large_string()), "")
-        normal = pc.if_else(pc.equal(pc.utf8_length(plain), 0), plain, pc.binary_join_element_wise(pa.scalar(SPACE, pa.large_string()), pc.replace_substring(plain, " ", SPACE), pa.scalar("", pa.large_string())))
-        marked = pc.match_substring(normal, MARK)
-        cut = normal
-        for pattern, into in self.arrow_cuts:
-            cut = pc.replace_substring_regex(cut, pattern, into)
-        parts = pc.split_pattern(cut, MARK)
-        if pc.any(marked).as_py():
-            slow = [[m.group(0) for m in self.cut.finditer(t)] if w else p for t, w, p in zip(normal.to_pylist(), marked.to_pylist(), parts.to_pylist())]
-            parts = pa.array(slow, pa.list_(pa.large_string()))
-        return parts
+        spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), plain, pa.scalar("", pa.large_string()))
+        whole = pc.match_substring(plain, SPACE)
+        data, starts = words.text_bytes(pc.if_else(pc.equal(plain, ""), plain, spaced))
+        if not len(data):
+            return data, np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(starts), np.int64)
+        space, odd = data == 0x20, self.cut_byte[data]
+        begin = odd.copy()
+        begin[1:] |= (space[1:] & ~space[:-1]) | odd[:-1]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            begin[starts[i]:starts[i + 1]] = False
+        begin[starts[:-1][np.diff(starts) > 0]] = True
+        begins = np.flatnonzero(begin)
+        return data, begins, np.append(begins[1:], len(data)), np.searchsorted(begins, starts)
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, stops): text i has ids[stops[i]:stops[i + 1]]; a null or empty one has none."""
+        data, begins, ends, firsts = self.split(texts)
+        at = self.known.places(data, begins, ends)
+        lengths = self.known.lengths[at]
+        return units.ragged(self.known.ids, self.known.begins[at], lengths), np.append(0, np.cumsum(lengths))[firsts]
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; None and the empty text have none."""
         if not text:
             return []
-        ids: list[int] = []
-        for m in self.cut.finditer(SPACE + text.replace(" ", SPACE)):
-            if m.group(1):
-                ids.extend(self.cached(m.group(1))[0])
-            else:
-                ids.extend(self.byte_id[b] for b in m.group(2).encode("utf-8"))
-        return ids
+        return self.segments(SPACE + text.replace(" ", SPACE))
 
     def decode(self, ids, first: bool = True) -> str:
         """The text of ids: pieces with ``▁`` as space, runs of byte pieces as UTF-8 (each bad byte one U+FFFD), the
@@ -220,8 +230,8 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def run(rows):
         own = model(path)
         for batch in units.batches(rows, text_col):
-            ids = [own.encode(t) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "token_ids"])
+            ids, stops = own.ids_of(batch.column(1))
+            yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids, pa.int32()))], [id_col, "token_ids"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, token_ids array<int>")
@@ -242,33 +252,26 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFra
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256 of its ids and their decoding.
 
-    Whole texts; no shuffle; a worker holds a batch of about 4 MB of text (or one longer text) and at most 400,000
-    remembered segments. Null text counts as empty: no ids, and both digests are those of the empty string. Null or
+    Whole texts; no shuffle; a worker holds a batch of about 4 MB of text (or one longer text) and the ids of at most
+    1,000,000 units. Null text counts as empty: no ids, and both digests are those of the empty string. Null or
     repeated doc_id: one result row per input row, in the same way. Other columns are not read, so clashing names do not
     matter. Empty table: empty result.
     """
     def run(rows):
         own = model(path)
         for batch in units.batches(rows, "text"):
-            parts = own.segments_of(batch.column(1))
-            flat = pc.list_flatten(parts)
-            keep = pc.greater(pc.utf8_length(flat), 0)
-            owner = pc.filter(pc.list_parent_indices(parts), keep).to_numpy()
-            coded = pc.filter(flat, keep).dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            ids, written, spoken = zip(*[own.cached(x) for x in distinct]) if distinct else ((), (), ())
-            sizes = np.array([len(x) for x in ids], dtype=np.int64)
-            which = coded.indices.to_numpy()
-            stops = np.searchsorted(owner, np.arange(len(batch) + 1))
-            counts = np.add.reduceat(np.append(sizes[which], 0), stops[:-1]) * (stops[1:] > stops[:-1])
-            which = which.tolist()
-            id_digests, text_digests = [], []
-            for a, b in zip(stops.tolist(), stops[1:].tolist()):
-                id_digests.append(hashlib.sha256(",".join([written[i] for i in which[a:b]]).encode()).hexdigest())
-                text = "".join([spoken[i] for i in which[a:b]])
-                text_digests.append(hashlib.sha256((text[1:] if text.startswith(" ") and a < b and distinct[which[a]].startswith(SPACE) else text).encode()).hexdigest())
+            ids, stops = own.ids_of(batch.column(1))
+            id_digests = [hashlib.sha256(x).hexdigest() for x in units.joined(own.digits, ids, stops, b",")]
+            text_digests = []
+            for a, b, said in zip(stops.tolist(), stops[1:].tolist(), units.joined(own.said, ids, stops, b"")):
+                try:
+                    text = str(said, "utf-8")
+                    text = text[1:] if a < b and ids[a] != own.unknown and text.startswith(" ") else text
+                except UnicodeDecodeError:  # bytes that are no character
+                    text = own.decode(ids[a:b].tolist())
+                text_digests.append(hashlib.sha256(text.encode()).hexdigest())
             yield pa.record_batch(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
+                [batch.column(0), pa.array(np.diff(stops), pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -24,6 +24,7 @@ from vigil.llm import words
 _OTHER_WHITE = "[" + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]"
 _MIXED = re.compile(rf"{_OTHER_WHITE}[\t-\r ]|[\t-\r ]{_OTHER_WHITE}")
 BATCH_BYTES = 4 << 20
+IDS_A_UNIT = 8  # long units (texts without white space) fill a lookup by their ids
 _PER_WORKER: list = []  # functions whose results stay for the life of a Python worker
 
 
@@ -107,7 +108,7 @@ def joined(values: pa.Array, at: np.ndarray, stops: np.ndarray, separator: bytes
 
 
 class Known:
-    """Token ids of units seen so far, by a 64-bit hash of their bytes; starts anew above ``most`` units.
+    """Token ids of units seen so far, by a 64-bit hash of their bytes; starts anew above ``most`` units, or 8 times as many ids.
 
     It lives as long as the Python worker. Two units of one hash would share ids: a chance of 10^-7 per million units.
     """
@@ -126,7 +127,7 @@ class Known:
         """The place of each unit among ``begins`` and ``lengths``; unknown ones are encoded first."""
         hashes = hashed(data, begins, ends)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > self.most:
+        if len(self.keys) + len(distinct) > self.most or len(self.ids) > IDS_A_UNIT * self.most:
             self.clear()
         at = np.searchsorted(self.keys, distinct)
         at[at == len(self.keys)] = 0
