@@ -111,3 +111,9 @@ def test_train_gbt_has_whole_settings(spark, monkeypatch):
     rules, = _settings(spark, monkeypatch, "train_gbt")
     assert (rules.rounds, rules.patience, rules.min_leaf, rules.depth, rules.rate) == (2000, 100, 500, 5, 0.05)
     assert (rules.l1, rules.l2, rules.fraction, rules.bins) == (0.5, 0.5, 0.8, 255)
+
+
+def test_train_second_has_whole_settings(spark, monkeypatch):
+    rules, = _settings(spark, monkeypatch, "train_second")
+    assert (rules.rounds, rules.patience, rules.min_leaf, rules.depth, rules.rate) == (5000, 200, 1, 8, 0.03)
+    assert (rules.l1, rules.l2, rules.bins) == (0.0, 3.0, 128)
