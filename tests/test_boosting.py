@@ -117,3 +117,15 @@ def test_train_second_has_whole_settings(spark, monkeypatch):
     rules, = _settings(spark, monkeypatch, "train_second")
     assert (rules.rounds, rules.patience, rules.min_leaf, rules.depth, rules.rate) == (5000, 200, 1, 8, 0.03)
     assert (rules.l1, rules.l2, rules.bins) == (0.0, 3.0, 128)
+
+
+def test_feature_importance_reads_the_whole_model(spark, monkeypatch):
+    first, other = _settings(spark, monkeypatch, "train_gbt", "feature_importance")
+    assert first == other
+    monkeypatch.undo()
+    train, val, names = _rows(spark, 0, 2000), _rows(spark, 5000, 800), ["x", "y", "z"]
+    model = models.train_trees(train, names, val, **{**SMALL, "rounds": 12, "patience": 12})
+    found = models.feature_importance(spark, model, names).collect()
+    nodes = [int(t.numNodes) for t in model.stages[-1].trees]
+    assert len(nodes) > 6 and sum(r["split"] for r in found) == sum((n - 1) // 2 for n in nodes)
+    assert sum(r["gain"] for r in found) == pytest.approx(1) and {r["feature"] for r in found[:2]} == {"x", "y"}
