@@ -129,3 +129,20 @@ def test_feature_importance_reads_the_whole_model(spark, monkeypatch):
     nodes = [int(t.numNodes) for t in model.stages[-1].trees]
     assert len(nodes) > 6 and sum(r["split"] for r in found) == sum((n - 1) // 2 for n in nodes)
     assert sum(r["gain"] for r in found) == pytest.approx(1) and {r["feature"] for r in found[:2]} == {"x", "y"}
+
+
+def test_every_input_is_permuted(spark, monkeypatch):
+    val = _rows(spark, 0, 300)
+    monkeypatch.setattr(queries, "_trained", lambda spark, sf_dir: (None, ["x", "y", "z", "u", "v", "w"], {"val": val.selectExpr("*", *[f"0D AS {c}" for c in "uvw"])}))
+    monkeypatch.setattr(models, "score", lambda model, df, inputs, name="proba": df.withColumn(name, F.coalesce("x", F.lit(0)) + F.col("y")))
+    found = {r["feature"]: r["auroc_drop"] for r in queries.CATALOGUE["permutation_importance"](spark, "unused").collect()}
+    assert list(found) == ["x", "y", "z", "u", "v", "w"]
+    assert found["x"] > 0.1 and found["y"] > 0.1 and [found[c] for c in "zuvw"] == [0.0] * 4
+
+
+def test_one_class_has_no_drop(spark, monkeypatch):
+    val = _rows(spark, 0, 20).withColumn("SepsisLabel", F.lit(0))
+    monkeypatch.setattr(models, "score", lambda model, df, inputs, name="proba": df.withColumn(name, F.col("y")))
+    found = models.permutation_importance(None, val, ["x", "y"], ["x", "y"]).collect()
+    assert [r["feature"] for r in found] == ["x", "y"] and all(r["auroc_drop"] is None for r in found)
+    assert models.permutation_importance(None, val.limit(0), ["x", "y"], ["x", "y"]).count() == 2
